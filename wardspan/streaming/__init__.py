@@ -1,0 +1,2 @@
+"""No streaming operators: every input of this pipeline is a finished file
+export, and nothing in it carries state from one batch to the next."""
