@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardspan.functions.clinical import age_at, flag, one_hot
-from wardspan.operators.skew import MIN_HOT_ROWS, OrderedGroups, salted_lookup
+from wardspan.operators.skew import MIN_HOT_ROWS, OrderedGroups, lookup
 
 # The admission types kept.
 ADMISSION_TYPES = (
@@ -41,9 +41,11 @@ def age_flag(df: DataFrame) -> Column:
     return flag(age >= SENIOR_AGE)
 
 
-def with_age_flag(admissions: DataFrame, patients: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Admissions with ``age_65_plus``; a patient may hold a large share of rows."""
-    joined = salted_lookup(admissions, patients, ["subject_id"], "left", min_rows)
+def with_age_flag(
+    admissions: DataFrame, patients: DataFrame, min_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
+    """Admissions with ``age_65_plus``."""
+    joined = lookup(admissions, patients, ["subject_id"], min_rows=min_rows)
     return joined.withColumn("age_65_plus", age_flag(joined)).drop("anchor_age", "anchor_year")
 
 

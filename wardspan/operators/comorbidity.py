@@ -46,9 +46,8 @@ def comorbidity_scores(
     """
     keys = ["icd_code", *([version] if version else [])]
     coded = normalise_codes(diagnoses.where(F.col("hadm_id").isNotNull())).select("hadm_id", *keys)
-    mapped = lookup(
-        coded, scored_codes(code_map, weights, keys), keys, "left", broadcast_rows, min_rows
-    )
+    scored = scored_codes(code_map, weights, keys)
+    mapped = lookup(coded, scored, keys, "left", broadcast_rows, min_rows)
     # An unmapped code keeps its admission, with a NULL group.
     entries = mapped.select("hadm_id", F.explode_outer("groups").alias("g")).select("hadm_id", "g.*")
     once = entries.distinct()

@@ -1,8 +1,9 @@
 """Keeping one hot key from becoming one hot task.
 
 A key is hot when it holds more rows than ``min_rows`` and more than 1/1024 of
-the table. So at most 1024 keys are hot whatever the data size, which is what
-bounds every broadcast in this module.
+the table. So at most 1024 keys are hot whatever the data size; that bounds all
+that is fetched or broadcast here. Hot keys are looked for first, by one
+aggregation of the key column, and a table without any gets the plain plan.
 """
 
 from __future__ import annotations
@@ -23,27 +24,33 @@ BROADCAST_ROWS = 200_000
 _PIECES = 4  # pieces cut out of a key per 1/1024 of the table
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """(keys, _n, _limit) of the hot keys. Counts combine before the shuffle."""
-    total = df.agg(F.count(F.lit(1)))
-    limit = F.greatest(F.lit(float(min_rows)), total.scalar() / F.lit(float(HOT_SHARE)))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_limit", limit)
-        .where("_n > _limit")
-    )
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS
+) -> DataFrame | None:
+    """(keys, _pieces) of the hot keys, ``_pieces`` the number of parts each
+    should be split into; None if there are none. NULL can be a hot key."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.where(F.col("_n") > min_rows).orderBy(F.desc("_n")).limit(HOT_SHARE)
+    found = largest.collect()
+    if not found:
+        return None
+    limit = max(float(min_rows), df.count() / HOT_SHARE)
+    hot = [r for r in found if r["_n"] > limit]
+    if not hot:
+        return None
+    table = df.sparkSession.createDataFrame(hot, largest.schema)
+    pieces = F.ceil(F.lit(_PIECES) * F.col("_n") / F.lit(limit))
+    return table.select(*keys, pieces.cast("int").alias("_pieces"), "_n")
 
 
 class OrderedGroups:
     """Ordered computations inside groups (running count, next value) where a
     group may be far larger than one task should hold.
 
-    A hot group is cut along its sort order at a few thousand cut points drawn
-    by a hash of the order columns. Rows are shuffled by (key, piece), windows
-    run inside a piece, and a small table of one row per piece of a hot group
-    carries counts and first values across the cuts. Groups that are not hot
-    are one piece, and cost one broadcast join more than a plain window.
+    A hot group is cut along its sort order, at a few thousand cut points in
+    all, drawn by a hash of the order columns. Rows are shuffled by (key,
+    piece), windows run inside a piece, and a small table of one row per piece
+    of a hot group carries counts and first values across the cuts.
 
     ``order`` must be unique within a group.
     """
@@ -53,16 +60,32 @@ class OrderedGroups:
     ):
         self.key = key
         self.order = list(order)
-        hot = hot_keys(df.select(key), [key], min_rows)
-        hot = hot.withColumnRenamed(key, "_key")
-        drawn = df.select(key, *order).join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")))
-        drawn = drawn.where(uniform("cut", *order) < _PIECES / F.col("_limit"))
-        self.cuts = drawn.groupBy("_key").agg(
-            F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts")
+        self.cuts = self._cut_points(df, min_rows)
+        self.by = [key]
+        self.rows = df
+        if self.cuts is not None:
+            self.by = [key, "_piece"]
+            self._cut_rows = self._with_piece(df, "inner")
+            # Said outright: a shuffle by the key alone would satisfy the
+            # windows too, and bring the hot group together again.
+            self.rows = self._with_piece(df, "left").repartition(key, "_piece")
+        self._window = W.partitionBy(*self.by).orderBy(*order)
+
+    def _cut_points(self, df: DataFrame, min_rows: int) -> DataFrame | None:
+        """(_key, _cuts): the sorted cut points of every hot group."""
+        hot = hot_keys(df.select(self.key), [self.key], min_rows)
+        if hot is None:
+            return None
+        hot = hot.withColumnRenamed(self.key, "_key")
+        same = F.col(self.key).eqNullSafe(F.col("_key"))
+        drawn = (
+            df.select(self.key, *self.order)
+            .join(F.broadcast(hot), same)
+            .where(uniform("cut", *self.order) < F.col("_pieces") / F.col("_n"))
+            .groupBy("_key")
+            .agg(F.sort_array(F.collect_list(F.struct(*self.order))).alias("_cuts"))
         )
-        self._cut_rows = self._with_piece(df, "inner")
-        self.rows = self._with_piece(df, "left").repartition(key, "_piece")
-        self._window = W.partitionBy(key, "_piece").orderBy(*order)
+        return df.sparkSession.createDataFrame(drawn.collect(), drawn.schema)
 
     def _with_piece(self, df: DataFrame, how: str) -> DataFrame:
         here = F.struct(*self.order)
@@ -73,51 +96,51 @@ class OrderedGroups:
             .drop("_cuts", "_key")
         )
 
-    def _carry(self, summary: Column, carried: Column) -> DataFrame:
-        """(_key, _at, _carried): ``carried`` over the per-piece ``summary``."""
+    def _carry(self, rows: DataFrame, summary: Column, carried: Column) -> DataFrame:
+        """Adds ``_carried``: ``carried`` over the per-piece ``summary``."""
         pieces = self._cut_rows.groupBy(self.key, "_piece").agg(summary.alias("_s"))
-        return pieces.select(
+        carry = pieces.select(
             F.col(self.key).alias("_key"), F.col("_piece").alias("_at"), carried.alias("_carried")
         )
-
-    def _carried_to(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
         here = F.col(self.key).eqNullSafe(F.col("_key")) & (F.col("_piece") == F.col("_at"))
         return rows.join(F.broadcast(carry), here, "left").drop("_key", "_at")
 
     def count_before(self, rows: DataFrame, out: str) -> DataFrame:
         """0-based position of the row in its group."""
-        before = F.sum("_s").over(
-            W.partitionBy(self.key).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-        )
-        carry = self._carry(F.count(F.lit(1)), before)
-        local = F.row_number().over(self._window) - 1
-        counted = self._carried_to(rows.withColumn(out, local), carry)
-        total = F.col(out) + F.coalesce("_carried", F.lit(0))
-        return counted.withColumn(out, total).drop("_carried")
+        counted = rows.withColumn(out, F.row_number().over(self._window) - 1)
+        if self.cuts is None:
+            return counted
+        pieces = W.partitionBy(self.key).orderBy("_piece")
+        before = F.sum("_s").over(pieces.rowsBetween(W.unboundedPreceding, -1))
+        counted = self._carry(counted, F.count(F.lit(1)), before)
+        return counted.withColumn(out, F.col(out) + F.coalesce("_carried", F.lit(0))).drop("_carried")
 
     def next_value(
         self, rows: DataFrame, value: str, out: str, kept: Column | None = None
     ) -> DataFrame:
         """``value`` of the following row. ``value`` is the leading order
         column. Where ``rows`` were filtered, ``kept`` is that filter."""
+        led = rows.withColumn(out, F.lead(value).over(self._window))
+        if self.cuts is None:
+            return led
         first = F.min(F.when(kept, F.col(value)) if kept is not None else F.col(value))
-        later = F.min("_s").over(
-            W.partitionBy(self.key).orderBy("_piece").rowsBetween(1, W.unboundedFollowing)
-        )
-        carry = self._carry(first, later)
-        led = self._carried_to(rows.withColumn(out, F.lead(value).over(self._window)), carry)
+        pieces = W.partitionBy(self.key).orderBy("_piece")
+        later = F.min("_s").over(pieces.rowsBetween(1, W.unboundedFollowing))
+        led = self._carry(led, first, later)
         return led.withColumn(out, F.coalesce(out, "_carried")).drop("_carried")
 
     def lookup(self, rows: DataFrame, dimension: DataFrame) -> DataFrame:
-        """Left join of a table with one row per group key. The dimension row
-        of a hot key is repeated per piece, so the join keeps the cut."""
+        """Left join of a table with one row per group key, on the shuffle the
+        windows made. The row of a hot key is repeated per piece."""
+        if self.cuts is None:
+            return rows.join(dimension, self.key, "left")
         pieces = F.sequence(F.lit(0), F.coalesce(F.size("_cuts"), F.lit(0)))
         repeated = (
             dimension.join(F.broadcast(self.cuts), F.col(self.key) == F.col("_key"), "left")
             .withColumn("_piece", F.explode(pieces))
             .drop("_cuts", "_key")
         )
-        return rows.join(repeated, [self.key, "_piece"], "left")
+        return rows.join(repeated, self.by, "left")
 
 
 def lookup(
@@ -153,20 +176,22 @@ def salted_lookup(
     are spread as well.
     """
     keys = list(keys)
+    hot = hot_keys(facts.select(*keys), keys, min_rows)
+    if hot is None:
+        return facts.join(dimension, keys, how)
+    hot = F.broadcast(hot.select(*keys, "_pieces"))
     rest = [F.col(f"`{c}`") for c, t in facts.dtypes if c not in keys and not t.startswith("map")]
     if not rest:
         raise ValueError("facts need a column besides the join keys")
     row = F.xxhash64(*rest)
-    salts = F.ceil(F.lit(_PIECES) * F.col("_n") / F.col("_limit")).cast("int")
-    hot = hot_keys(facts.select(*keys), keys, min_rows).select(*keys, salts.alias("_salts"))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     salt = (
         F.when(no_key, F.pmod(row, F.lit(HOT_SHARE)))
-        .when(F.col("_salts").isNotNull(), F.pmod(row, F.col("_salts")))
+        .when(F.col("_pieces").isNotNull(), F.pmod(row, F.col("_pieces")))
         .otherwise(0)
     )
-    salted = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt.cast("int"))
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    repeated = dimension.join(F.broadcast(hot), keys, "left").withColumn("_salt", copies)
-    joined = salted.drop("_salts").join(repeated.drop("_salts"), [*keys, "_salt"], how)
+    salted = facts.join(hot, keys, "left").withColumn("_salt", salt.cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    repeated = dimension.join(hot, keys, "left").withColumn("_salt", copies)
+    joined = salted.drop("_pieces").join(repeated.drop("_pieces"), [*keys, "_salt"], how)
     return joined.drop("_salt")
