@@ -1,0 +1,91 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from wardspan.operators import evaluate
+from wardspan.operators.importance import donors, permutation_importance
+from wardspan.operators.ranking import seeded_rank
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    data = [(0, 0)] * 50 + [(0, 1)] * 10 + [(1, 0)] * 5 + [(1, 1)] * 15
+    return spark.createDataFrame(data, "label int, prediction int")
+
+
+def test_confusion(spark, scored):
+    assert rows(evaluate.confusion_counts(scored)) == [(0, 0, 50), (0, 1, 10), (1, 0, 5), (1, 1, 15)]
+    assert rows(evaluate.confusion_matrix(scored, [0, 1, 2])) == [(0, 50, 10, 0), (1, 5, 15, 0)]
+
+
+def test_report(spark, scored):
+    got = {r[0]: r[1:] for r in rows(evaluate.classification_report(scored))}
+    want = {
+        "0": (0.909091, 0.833333, 0.869565, 60),
+        "1": (0.600000, 0.750000, 0.666667, 20),
+        "macro avg": (0.754545, 0.791667, 0.768116, 80),
+        "weighted avg": (0.831818, 0.812500, 0.818841, 80),
+        "accuracy": (None, None, 0.8125, 80),
+    }
+    assert set(got) == set(want)
+    for name, line in want.items():
+        assert got[name] == pytest.approx(line, abs=1e-6) if name != "accuracy" else got[name] == line
+    assert evaluate.weighted_f1(scored).first()[0] == pytest.approx(0.818841, abs=1e-6)
+
+
+def test_a_class_never_predicted_scores_zero(spark):
+    df = spark.createDataFrame([(0, 0), (1, 0), (0, 2)], "label int, prediction int")
+    got = {r[0]: r[1:] for r in rows(evaluate.classification_report(df))}
+    assert got["1"] == (0.0, 0.0, 0.0, 1)
+    assert got["2"] == (0.0, 0.0, 0.0, 0)
+    assert got["macro avg"][3] == 3
+
+
+def test_perfect_predictions(spark):
+    df = spark.range(30).select((F.col("id") % 3).alias("label"), (F.col("id") % 3).alias("prediction"))
+    assert evaluate.weighted_f1(df).first()[0] == 1.0
+
+
+def test_regression_metrics(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 1.0), (None, 9.0)], "y double, p double")
+    n, mse, mae, r2 = evaluate.regression_metrics(df, "y", "p").first()
+    assert (n, mse, mae) == (3, pytest.approx(5 / 3), 1.0)
+    assert r2 == pytest.approx(1 - 5 / 2)
+
+
+def test_roc_auc(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.8), (1, 0.8), (0, 0.1)], "label int, probability double")
+    assert evaluate.roc_auc(df) == pytest.approx(3.5 / 4)
+
+
+def _table(spark):
+    return spark.range(600).select(
+        "id",
+        (F.col("id") % 2).alias("label"),
+        (F.col("id") % 2).cast("double").alias("a.b"),
+        (F.col("id") % 5).cast("double").alias("noise"),
+        F.lit(1.0).alias("same"),
+    )
+
+
+def _model(df):
+    return df.withColumn("prediction", (F.col("`a.b`") + 0 * F.col("noise") > 0.5).cast("int"))
+
+
+def test_donors_are_a_permutation(spark):
+    ranked = seeded_rank(spark.range(500).withColumn("x", F.col("id") * 2), "id", "s", rank="_rank")
+    got = donors(ranked, "id", ["x"], 0, "s")
+    assert rows(got.select("_donor.x")) == [(2 * i,) for i in range(500)]
+    moved = got.where(F.col("x") != F.col("_donor.x")).count()
+    assert moved > 480
+    again = donors(ranked.repartition(7), "id", ["x"], 0, "s").select("id", "_donor.x")
+    assert rows(got.select("id", "_donor.x")) == rows(again)
+
+
+def test_importance(spark):
+    got = permutation_importance(_table(spark), "id", ["a.b", "noise", "same"], "label", _model, 3)
+    by_name = {r["feature"]: r for r in got.collect()}
+    assert got.first()["feature"] == "a.b"
+    assert by_name["a.b"]["importance_mean"] == pytest.approx(0.5, abs=0.05)
+    assert by_name["noise"]["importance_mean"] == 0 and by_name["same"]["importance_mean"] == 0
+    assert by_name["same"]["importance_std"] == 0
