@@ -62,10 +62,11 @@ def test_one_hot_has_a_column_per_listed_type(spark):
 
 
 @pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_comorbidity(spark, broadcast_rows):
+@pytest.mark.parametrize("mask_groups", [248, 2])
+def test_comorbidity(spark, broadcast_rows, mask_groups):
     s = sources(spark)
     got = comorbidity_scores(
-        s.diagnoses, s.code_map, s.weights, broadcast_rows=broadcast_rows, min_rows=1
+        s.diagnoses, s.code_map, s.weights, None, mask_groups, broadcast_rows, min_rows=1
     )
     assert rows(got, "hadm_id", "elix_readmit", "elix_mortality", "has_chronic") == [
         (101, 5.0, -1.0, 1),
@@ -74,6 +75,28 @@ def test_comorbidity(spark, broadcast_rows):
     ]
 
 
+@pytest.mark.parametrize("mask_groups", [248, 2])
+def test_comorbidity_with_many_groups(spark, mask_groups):
+    """More groups than one number has bits, codes in several groups, a group
+    without weights."""
+    pairs = [(f"C{i}", f"G{j}") for i in range(100) for j in (i, (i * 7) % 100)]
+    code_map = spark.createDataFrame(pairs, "icd_code string, comorbidity string")
+    weights = spark.createDataFrame(
+        [(f"G{j}", float(j), -1.0) for j in range(99)],
+        "comorbidity string, w_readmit double, w_mortality double",
+    )
+    dx = [(h, f"c.{i}") for h in range(30) for i in range(h, 100, 13)]
+    got = comorbidity_scores(
+        spark.createDataFrame(dx, "hadm_id long, icd_code string"), code_map, weights, None, mask_groups
+    )
+    want = []
+    for h in range(30):
+        groups = {j for i in range(h, 100, 13) for j in (i, (i * 7) % 100)}
+        known = groups - {99}
+        want.append((h, float(sum(known)), -float(len(known)), 1))
+    assert rows(got) == want
+
+
 def test_comorbidity_by_code_version(spark):
     s = sources(spark)
     dx = s.diagnoses.withColumn("icd_version", F.when(F.col("hadm_id") == 101, 9).otherwise(10))

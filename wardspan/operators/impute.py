@@ -23,52 +23,28 @@ def median_table(
     pass counts the values below the bracket and the distinct values inside it,
     about ``8 / accuracy`` of the rows, and the middle ranks are read off those.
     """
-    clean = df.select(*[null_nan(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
+    cells = F.array(*[null_nan(F.col(f"`{c}`").cast("double")) for c in columns])
+    values = df.select(F.posexplode(cells).alias("i", "v")).where("v IS NOT NULL")
     margin = min(0.5, 4.0 / accuracy)
-    sketch = clean.agg(
-        F.struct(
-            *[
-                F.struct(
-                    F.count(f"`{c}`").alias("n"),
-                    F.percentile_approx(f"`{c}`", [0.5 - margin, 0.5 + margin], accuracy).alias("q"),
-                ).alias(f"c{i}")
-                for i, c in enumerate(columns)
-            ]
-        )
-    )
-    bracketed = clean.withColumn("_sketch", sketch.scalar())
-    # Values below the bracket are all counted under NULL, those above left out.
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                (F.col(f"`{c}`") < F.col(f"_sketch.c{i}.q")[0]).alias("below"),
-                F.when(F.col(f"`{c}`") <= F.col(f"_sketch.c{i}.q")[1], F.col(f"`{c}`")).alias("v"),
-                F.col(f"_sketch.c{i}.n").alias("n"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
+    ends = F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy)
+    sketch = values.groupBy("i").agg(F.count(F.lit(1)).alias("n"), ends.alias("ends"))
+    # One row per column. Values below the bracket are counted under NULL.
     counted = (
-        bracketed.select(F.explode(entries).alias("e"))
-        .where("e.v IS NOT NULL")
-        .select("e.i", "e.n", F.when(~F.col("e.below"), F.col("e.v")).alias("v"))
-        .groupBy("i", "n", "v")
+        values.join(F.broadcast(sketch), "i")
+        .where(F.col("v") <= F.col("ends")[1])
+        .groupBy("i", "n", F.when(F.col("v") >= F.col("ends")[0], F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("m"))
     )
     upto = F.sum("m").over(W.partitionBy("i").orderBy(F.col("v").asc_nulls_first()))
-    ranked = counted.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("m"))
+    ranked = counted.select("i", "n", "v", upto.alias("upto"), (upto - F.col("m")).alias("before"))
 
     def at(rank):
         return F.max(F.when((F.col("before") <= rank) & (rank < F.col("upto")), F.col("v")))
 
-    low, high = F.expr("(n - 1) div 2"), F.expr("n div 2")
-    medians = ranked.groupBy("i").agg(at(low).alias("low"), at(high).alias("high"))
+    middle = (at(F.expr("(n - 1) div 2")) + at(F.expr("n div 2"))) / 2
     # The sketch guarantees the bracket; never answer wrongly if it ever fails.
-    middle = F.coalesce(
-        (F.col("low") + F.col("high")) / 2, F.raise_error(F.lit("median outside its bracket")).cast("double")
-    )
-    medians = medians.withColumn("median", middle)
+    failed = F.raise_error(F.lit("median outside its bracket")).cast("double")
+    medians = ranked.groupBy("i").agg(F.coalesce(middle, failed).alias("median"))
     return medians.groupBy().agg(
         *[
             F.coalesce(F.max(F.when(F.col("i") == i, F.col("median"))), F.lit(0.0)).alias(c)
@@ -81,14 +57,13 @@ def fill_from(df: DataFrame, values: DataFrame, columns: Sequence[str]) -> DataF
     """Fill missing (NULL or NaN) cells from a one-row table of values.
 
     ``values`` may come from other rows than ``df``: fit it on all rows, or on
-    the training rows alone to keep test rows out of it.
+    the training rows alone to keep test rows out of it. Its one row is fetched
+    here, so that ``df`` can be filled again and again without refitting.
     """
-    row = values.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_fill"))
-    filled = {
-        c: F.coalesce(null_nan(F.col(f"`{c}`").cast("double")), F.col("_fill").getField(c))
-        for c in columns
-    }
-    return df.withColumn("_fill", row.scalar()).withColumns(filled).drop("_fill")
+    row = values.first()
+    return df.withColumns(
+        {c: F.coalesce(null_nan(F.col(f"`{c}`").cast("double")), F.lit(row[c])) for c in columns}
+    )
 
 
 def fill_missing(df: DataFrame, value: float, columns: Sequence[str]) -> DataFrame:

@@ -382,7 +382,7 @@ def stability(spark, folder):
 
 
 def _table(spark, folder):
-    return materialise(build_features(roles.sources(spark, folder), roles.PARAMS), "features")
+    return build_features(roles.sources(spark, folder), roles.PARAMS)
 
 
 @query("rf_predict")

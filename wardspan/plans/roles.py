@@ -19,8 +19,21 @@ ITEMS_F = (50912, 51222, 51002, 50813, 50862, 50983, 99991)
 ITEMS_O = (50889, 51237, 50912, 51222, 50813, 99992, 99993)
 
 
+# Columns read, stated so that no file is opened to find the schema.
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_acctbal double",
+    "part": "p_partkey long, p_brand string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def admissions(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,14 +70,14 @@ def diagnoses(spark: SparkSession, folder: str) -> DataFrame:
 
 def code_map(spark: SparkSession) -> DataFrame:
     """Brands 1 to 20 fall into six groups, the others into none."""
-    return spark.range(1, 21).select(
+    return spark.range(1, 21, 1, 1).select(
         F.concat(F.lit("Brand#"), F.col("id").cast("string")).alias("icd_code"),
         F.concat(F.lit("G"), (F.col("id") % 6).cast("string")).alias("comorbidity"),
     )
 
 
 def weights(spark: SparkSession) -> DataFrame:
-    return spark.range(6).select(
+    return spark.range(0, 6, 1, 1).select(
         F.concat(F.lit("G"), F.col("id").cast("string")).alias("comorbidity"),
         (F.col("id") * 2 - 3).cast("double").alias("w_readmit"),
         (F.col("id") - 2).cast("double").alias("w_mortality"),
