@@ -33,6 +33,17 @@ def test_report(spark, scored):
     assert evaluate.weighted_f1(scored).first()[0] == pytest.approx(0.818841, abs=1e-6)
 
 
+def test_reports_by_group_equal_separate_reports(spark, scored):
+    both = scored.withColumn("g", F.lit("all")).unionByName(
+        scored.where("label = 0").withColumn("g", F.lit("zero"))
+    )
+    got = evaluate.classification_report(both, by=["g"])
+    for group, part in (("all", scored), ("zero", scored.where("label = 0"))):
+        columns = ("name", "precision", "recall", "f1", "support")
+        want = rows(evaluate.classification_report(part), *columns)
+        assert rows(got.where(F.col("g") == group), *columns) == want
+
+
 def test_a_class_never_predicted_scores_zero(spark):
     df = spark.createDataFrame([(0, 0), (1, 0), (0, 2)], "label int, prediction int")
     got = {r[0]: r[1:] for r in rows(evaluate.classification_report(df))}
@@ -89,3 +100,8 @@ def test_importance(spark):
     assert by_name["a.b"]["importance_mean"] == pytest.approx(0.5, abs=0.05)
     assert by_name["noise"]["importance_mean"] == 0 and by_name["same"]["importance_mean"] == 0
     assert by_name["same"]["importance_std"] == 0
+    by_f1 = permutation_importance(
+        _table(spark), "id", ["a.b", "same"], "label", lambda df: _model(df.withColumn("noise", F.lit(0))),
+        1, metric="weighted avg",
+    )
+    assert by_f1.first()["importance_mean"] == pytest.approx(0.5, abs=0.05)

@@ -61,6 +61,15 @@ def test_one_hot_has_a_column_per_listed_type(spark):
     assert got.where(total != 1).count() == 0
 
 
+def test_types_can_be_found_in_the_data(spark):
+    stays = sources(spark).admissions
+    found = adm.categories(stays, "admission_type")
+    assert len(found) == 6 and found == sorted(found)
+    assert "admission_type_AMBULATORY OBSERVATION" in adm.encode_types(stays, None).columns
+    with pytest.raises(ValueError, match="more than 3"):
+        adm.categories(stays, "admission_type", 3)
+
+
 @pytest.mark.parametrize("broadcast_rows", [1000, 0])
 @pytest.mark.parametrize("mask_groups", [248, 2])
 def test_comorbidity(spark, broadcast_rows, mask_groups):

@@ -53,13 +53,25 @@ def of_type(types: Sequence[str] = ADMISSION_TYPES) -> Column:
     return F.col("admission_type").isin(*types)
 
 
+def categories(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
+    """The distinct values of a column, sorted; refused beyond ``limit``."""
+    known = df.select(column).where(F.col(column).isNotNull()).distinct()
+    found = [r[0] for r in known.limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"{column} has more than {limit} values: too many to encode as columns")
+    return sorted(found)
+
+
 def encode_types(
     admissions: DataFrame,
-    types: Sequence[str] = ADMISSION_TYPES,
+    types: Sequence[str] | None = ADMISSION_TYPES,
     column: str = "admission_type",
 ) -> DataFrame:
     """Replace the type by one 0/1 column per listed type. The list fixes the
-    schema; a type absent from the data gives a column of zeros."""
+    schema; a type absent from the data gives a column of zeros. With None the
+    types are looked up in the data first."""
+    if types is None:
+        types = categories(admissions, column)
     rest = [c for c in admissions.columns if c != column]
     return admissions.select(*rest, *one_hot(F.col(column), types, column))
 

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n)."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def confusion_counts(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, label, prediction, n)."""
+    return df.groupBy(
+        *by, F.col(label).alias("label"), F.col(prediction).alias("prediction")
+    ).agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(
@@ -33,14 +35,15 @@ def _ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def classification_report(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """(name, precision, recall, f1, support): one row per class, then
+    """(by, name, precision, recall, f1, support): one row per class, then
     ``accuracy`` (under f1), ``macro avg`` and ``weighted avg``.
 
     A zero denominator gives 0. Classes are those of label or prediction.
+    ``by`` columns give a report each, all from one aggregation.
     """
-    counts = confusion_counts(df, label, prediction)
+    counts = confusion_counts(df, label, prediction, by)
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     none = F.lit(0).cast("bigint")
 
@@ -54,9 +57,9 @@ def classification_report(
 
     sides = F.array(side("label", hit, F.col("n"), none), side("prediction", none, none, F.col("n")))
     per_class = (
-        counts.select(F.explode(sides).alias("s"))
-        .select("s.*")
-        .groupBy("cls")
+        counts.select(*by, F.explode(sides).alias("s"))
+        .select(*by, "s.*")
+        .groupBy(*by, "cls")
         .agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])
         .withColumn("p", _ratio(F.col("tp"), F.col("predicted")))
         .withColumn("r", _ratio(F.col("tp"), F.col("support")))
@@ -79,10 +82,10 @@ def classification_report(
     )
 
     def mean(c):
-        return (F.sum(F.col("w") * F.col(c)) / F.sum("w"))
+        return F.sum(F.col("w") * F.col(c)) / F.sum("w")
 
-    weighted = per_class.select(F.explode(lines).alias("l")).select("l.*")
-    return weighted.groupBy("name").agg(
+    weighted = per_class.select(*by, F.explode(lines).alias("l")).select(*by, "l.*")
+    return weighted.groupBy(*by, "name").agg(
         mean("p").alias("precision"),
         mean("r").alias("recall"),
         mean("f").alias("f1"),

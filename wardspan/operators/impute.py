@@ -35,7 +35,8 @@ def median_table(
         .groupBy("i", "n", F.when(F.col("v") >= F.col("ends")[0], F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("m"))
     )
-    upto = F.sum("m").over(W.partitionBy("i").orderBy(F.col("v").asc_nulls_first()))
+    by_value = W.partitionBy("i").orderBy(F.col("v").asc_nulls_first())
+    upto = F.sum("m").over(by_value.rowsBetween(W.unboundedPreceding, W.currentRow))
     ranked = counted.select("i", "n", "v", upto.alias("upto"), (upto - F.col("m")).alias("before"))
 
     def at(rank):

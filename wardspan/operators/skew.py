@@ -154,10 +154,10 @@ def lookup(
     """Join facts to a table with one row per key.
 
     The table is broadcast after counting that it has at most
-    ``broadcast_rows`` rows (the count stops there). A larger one is joined by
-    shuffle, with the rows of a hot key salted over several tasks.
+    ``broadcast_rows`` rows. A larger one is joined by shuffle, with the rows
+    of a hot key salted over several tasks.
     """
-    if dimension.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if dimension.count() <= broadcast_rows:
         return facts.join(F.broadcast(dimension), list(keys), how)
     return salted_lookup(facts, dimension, keys, how, min_rows)
 

@@ -213,7 +213,23 @@ made as (
 _PERMUTED = ("prior_admissions", "num_prescriptions", "age_65_plus")
 
 
-def _importance() -> str:
+def _accuracy(label: str, prediction: str) -> str:
+    return f"avg(cast({label} = {prediction} as integer))"
+
+
+def _weighted_f1(label: str, prediction: str) -> str:
+    """Sum over the two classes of support * 2 tp / (support + predicted)."""
+
+    def part(c):
+        hit = f"count(*) filter (where {label} = {c} and {prediction} = {c})"
+        support = f"count(*) filter (where {label} = {c})"
+        predicted = f"count(*) filter (where {prediction} = {c})"
+        return f"{support} * 2.0 * {hit} / greatest({support} + {predicted}, 1)"
+
+    return f"(({part(0)} + {part(1)}) / count(*))"
+
+
+def _importance(metric, n_repeats: int) -> str:
     def rule(changed: str) -> str:
         def value(f):
             return ("d." if f == changed else "b.") + f
@@ -225,11 +241,11 @@ def _importance() -> str:
     repeats = " union all ".join(
         f"select {r} as repeat, hadm_id, {_rank(f'42|{r}', 'hadm_id')} as rank, "
         f"{', '.join(_PERMUTED)} from rows_"
-        for r in range(5)
+        for r in range(n_repeats)
     )
     drops = " union all ".join(
         f"select '{f}' as feature, d.repeat, "
-        f"avg(cast(b.readmit = {rule('')} as integer)) - avg(cast(b.readmit = {rule(f)} as integer))"
+        f"{metric('b.readmit', rule(''))} - {metric('b.readmit', rule(f))}"
         f" as dropped from base b join donors d on b.rank = d.rank group by d.repeat"
         for f in _PERMUTED
     )
@@ -297,6 +313,12 @@ with {_ADM}, {_PATIENTS}
 select hadm_id, {_age('adm')} as age_65_plus from adm left join patients using (subject_id)""",
     "one_hot": f"""
 with {_ADM} select hadm_id, {_ONE_HOT} from adm where admission_type in ({_TYPES})""",
+    "one_hot_discovered": f"""
+with {_ADM}
+select hadm_id, {", ".join(
+    f"cast(admission_type = '{t}' as bigint) as \"admission_type_{t}\""
+    for t in (*roles.TYPES[:4], '5-LOW'))}
+from adm""",
     "code_normalise": f"with {_DX} select hadm_id, icd_code from dx",
     "comorbidity_score": f"""
 with {_COMORBIDITY} select hadm_id, elix_readmit, elix_mortality, has_chronic from scores""",
@@ -427,6 +449,7 @@ ordered as (
   from by_score)
 select round(cast(sum(pos * (below + neg / 2)) as double) / (sum(pos) * sum(neg)), 6) as roc_auc
 from ordered""",
-    "permutation_importance": _importance(),
+    "permutation_importance": _importance(_accuracy, 5),
+    "permutation_importance_f1": _importance(_weighted_f1, 2),
     "stability": _stability(),
 }

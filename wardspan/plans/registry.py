@@ -107,6 +107,14 @@ def one_hot(spark, folder):
     return encoded.select("hadm_id", *[big(c) for c in TYPE_COLUMNS])
 
 
+@query("one_hot_discovered")
+def one_hot_discovered(spark, folder):
+    """All types found in the data, encoded without a given list."""
+    encoded = adm.encode_types(roles.admissions(spark, folder), None)
+    flags = [c for c in encoded.columns if c.startswith("admission_type_")]
+    return encoded.select("hadm_id", *[big(c) for c in flags])
+
+
 # ---- diagnoses, prescriptions, labs
 
 
@@ -356,6 +364,15 @@ def permutation_importance_rule(spark, folder):
     return table.select("feature", rounded("importance_mean"), rounded("importance_std"))
 
 
+@query("permutation_importance_f1")
+def permutation_importance_f1(spark, folder):
+    """The same by weighted F1 instead of accuracy."""
+    table = permutation_importance(
+        _rule_rows(spark, folder), "hadm_id", RULE_FEATURES, "readmit", _rule, 2, metric="weighted avg"
+    )
+    return table.select("feature", rounded("importance_mean"), rounded("importance_std"))
+
+
 def _logistic(df: DataFrame) -> DataFrame:
     odds = F.col("o_totalprice") / 100000 - F.col("age_days") / 500
     chance = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
