@@ -22,6 +22,7 @@ MIN_HOT_ROWS = 1_000_000
 HOT_SHARE = 1024
 BROADCAST_ROWS = 200_000
 _PIECES = 4  # pieces cut out of a key per 1/1024 of the table
+_DRAWS = 32  # rows drawn per cut point, so that pieces come out even
 
 
 def hot_keys(
@@ -48,7 +49,7 @@ class OrderedGroups:
     group may be far larger than one task should hold.
 
     A hot group is cut along its sort order, at a few thousand cut points in
-    all, drawn by a hash of the order columns. Rows are shuffled by (key,
+    all: every 32nd of the rows drawn by a hash of the order columns. Rows are shuffled by (key,
     piece), windows run inside a piece, and a small table of one row per piece
     of a hot group carries counts and first values across the cuts.
 
@@ -81,10 +82,12 @@ class OrderedGroups:
         drawn = (
             df.select(self.key, *self.order)
             .join(F.broadcast(hot), same)
-            .where(uniform("cut", *self.order) < F.col("_pieces") / F.col("_n"))
+            .where(uniform("cut", *self.order) < _DRAWS * F.col("_pieces") / F.col("_n"))
             .groupBy("_key")
-            .agg(F.sort_array(F.collect_list(F.struct(*self.order))).alias("_cuts"))
+            .agg(F.sort_array(F.collect_list(F.struct(*self.order))).alias("_drawn"))
         )
+        thinned = F.filter("_drawn", lambda _, i: i % _DRAWS == _DRAWS - 1)
+        drawn = drawn.select("_key", thinned.alias("_cuts"))
         return df.sparkSession.createDataFrame(drawn.collect(), drawn.schema)
 
     def _with_piece(self, df: DataFrame, how: str) -> DataFrame:
@@ -107,7 +110,8 @@ class OrderedGroups:
 
     def count_before(self, rows: DataFrame, out: str) -> DataFrame:
         """0-based position of the row in its group."""
-        counted = rows.withColumn(out, F.row_number().over(self._window) - 1)
+        place = F.row_number().over(self._window).cast("bigint") - 1
+        counted = rows.withColumn(out, place)
         if self.cuts is None:
             return counted
         pieces = W.partitionBy(self.key).orderBy("_piece")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,31 +104,50 @@ def cohort(sources: Sources, params: FeatureParams) -> DataFrame:
     )
 
 
-def assemble(sources: Sources, params: FeatureParams = FeatureParams()) -> DataFrame:
+def part_builders(
+    sources: Sources, params: FeatureParams = FeatureParams()
+) -> dict[str, Callable[[], DataFrame]]:
+    """The per-admission aggregates by name; none depends on the horizons."""
+    return {
+        "comorbidity": lambda: comorbidity_scores(
+            sources.diagnoses, sources.code_map, sources.weights, min_rows=params.min_rows
+        ),
+        "prescription_counts": lambda: prescription_counts(sources.prescriptions),
+        "labs": lambda: lab_features(sources.labevents, params.lab_items, params.order_key),
+    }
+
+
+def join_parts(
+    stays: DataFrame, parts: Mapping[str, DataFrame], params: FeatureParams
+) -> DataFrame:
     """The feature table before imputation. Every join is one row to one row
-    on hadm_id, and the aggregates below arrive already shuffled by it."""
-    scores = comorbidity_scores(
-        sources.diagnoses, sources.code_map, sources.weights, min_rows=params.min_rows
-    )
-    labs = lab_features(sources.labevents, params.lab_items, params.order_key)
+    on hadm_id, and a freshly built part arrives already shuffled by it."""
     labels = [*params.horizons, *(["censored"] if params.censored else [])]
     wide = (
-        cohort(sources, params)
-        .join(scores, "hadm_id", "left")
-        .join(prescription_counts(sources.prescriptions), "hadm_id", "left")
-        .join(labs.select("hadm_id", *params.lab_columns), "hadm_id", "left")
+        stays.join(parts["comorbidity"], "hadm_id", "left")
+        .join(parts["prescription_counts"], "hadm_id", "left")
+        .join(parts["labs"].select("hadm_id", *params.lab_columns), "hadm_id", "left")
     )
     wide = fill_missing(wide, 0, ["elix_readmit", "elix_mortality", "has_chronic", "num_prescriptions"])
     return wide.select("hadm_id", *labels, *[F.col(f"`{c}`") for c in params.features])
 
 
-def build_features(sources: Sources, params: FeatureParams = FeatureParams()) -> DataFrame:
-    """Assembled rows, missing labs filled with the column's median. The
-    assembled table is written once: medians and filling scan it again."""
-    wide = materialise(assemble(sources, params), "assembled")
+def assemble(sources: Sources, params: FeatureParams = FeatureParams()) -> DataFrame:
+    parts = {name: build() for name, build in part_builders(sources, params).items()}
+    return join_parts(cohort(sources, params), parts, params)
+
+
+def fill_labs(wide: DataFrame, params: FeatureParams) -> DataFrame:
+    """Missing labs filled with the median of their column. The joined rows are
+    written once: medians and filling scan them again."""
+    wide = materialise(wide, "assembled")
     return fill_from(wide, median_table(wide, params.lab_columns), params.lab_columns)
 
 
+def build_features(sources: Sources, params: FeatureParams = FeatureParams()) -> DataFrame:
+    return fill_labs(assemble(sources, params), params)
+
+
 def as_float(df: DataFrame, key: str = "hadm_id") -> DataFrame:
     """Every column but the key as 32-bit float, the stored form."""
     return df.select(key, *[F.col(f"`{c}`").cast("float").alias(c) for c in df.columns if c != key])
@@ -146,31 +165,27 @@ def hospital_features(
 ) -> DataFrame:
     """Feature table of a folder of hospital exports, kept under ``cache_path``.
 
-    The input tables are kept as parquet once per data path; the result once
-    per horizon too. Change ``version`` when the code map, the weights or the
-    exports change.
+    Admissions, patients and the aggregates are kept once per data path, the
+    result once per horizon, so another horizon reads no large export again.
+    Change ``version`` when the exports, the code map or the weights change.
     """
-    made_of = {"data": data_path, "version": version}
-    tables = read_hospital(spark, data_path, partitions)
-    kept = {
-        name: stage(spark, cache_path, name, made_of, lambda t=table: t)
-        for name, table in tables.items()
-    }
-    sources = Sources(
-        admissions=kept["admissions"],
-        patients=kept["patients"],
-        diagnoses=kept["diagnoses_icd"],
-        prescriptions=kept["prescriptions"],
-        labevents=kept["labevents"],
-        code_map=code_map,
-        weights=weights,
-    )
     params = FeatureParams(horizons={"readmit": time_delta_days})
 
-    return stage(
-        spark,
-        cache_path,
-        "features",
-        {**made_of, "horizon": time_delta_days},
-        lambda: as_float(build_features(sources, params)),
-    )
+    def kept(name: str, build: Callable[[], DataFrame], **more) -> DataFrame:
+        return stage(spark, cache_path, name, {"data": data_path, "version": version, **more}, build)
+
+    def build() -> DataFrame:
+        tables = read_hospital(spark, data_path, partitions)
+        sources = Sources(
+            admissions=kept("admissions", lambda: tables["admissions"]),
+            patients=kept("patients", lambda: tables["patients"]),
+            diagnoses=tables["diagnoses_icd"],
+            prescriptions=tables["prescriptions"],
+            labevents=tables["labevents"],
+            code_map=code_map,
+            weights=weights,
+        )
+        parts = {name: kept(name, made) for name, made in part_builders(sources, params).items()}
+        return as_float(fill_labs(join_parts(cohort(sources, params), parts, params), params))
+
+    return kept("features", build, horizon=time_delta_days)
