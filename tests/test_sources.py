@@ -69,6 +69,15 @@ def test_a_missing_column_is_named(spark, tmp_path):
         read_table(spark, path, schemas.PATIENTS)
 
 
+def test_files_with_differing_headers_are_refused(spark, tmp_path):
+    a = _gzip(tmp_path / "a.csv.gz", ["subject_id,anchor_year,anchor_age", "1,2150,60"])
+    b = _gzip(tmp_path / "b.csv.gz", ["subject_id,anchor_year,anchor_age", "2,2160,70"])
+    assert rows(read_table(spark, [a, b], schemas.PATIENTS)) == sorted(PATIENTS)
+    c = _gzip(tmp_path / "c.csv.gz", ["anchor_age,subject_id,anchor_year", "60,3,2150"])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, [a, c], schemas.PATIENTS).collect()
+
+
 def test_times_carry_no_zone(spark, tmp_path):
     path = _gzip(tmp_path / "t.csv.gz", ["at", "2150-03-10 02:30:00", "soon"])
     got = read_table(spark, path, T.StructType([T.StructField("at", T.TimestampNTZType())]))

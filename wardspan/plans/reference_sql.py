@@ -290,13 +290,19 @@ from scored group by level"""
 
 
 SQL: dict[str, str] = {
+    "csv_scan": f"""
+with {_ADM}
+select hadm_id, subject_id, admission_type, cast(admittime as varchar) as admittime,
+       cast(dischtime as varchar) as dischtime
+from adm""",
+    "stage_reuse": f"with {_RX} select hadm_id, num_prescriptions from rx",
     "prior_admissions": f"""
 with {_ADM}, {_PRIOR}
 select hadm_id, subject_id, cast(prior_admissions as bigint) as prior_admissions from prior""",
     "admission_type_filter": f"""
 with {_ADM} select hadm_id, subject_id, admission_type from adm where admission_type in ({_TYPES})""",
     "readmit_label": f"""
-with {_LABELLED} select hadm_id, gap_days, readmit from labelled""",
+with {_LABELLED} select hadm_id, cast(gap_days as double) as gap_days, readmit from labelled""",
     "readmit_horizons": f"""
 with {_LABELLED}
 select hadm_id, {", ".join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,9 @@ from wardspan.operators.smote import smote, synthetic_points
 from wardspan.plans import roles, studies
 from wardspan.plans.features import LAB_COLUMNS, assemble, build_features, cohort
 from wardspan.plans.training import train_and_evaluate
-from wardspan.sources.stage import materialise
+from wardspan.sources import schemas
+from wardspan.sources.readers import read_table
+from wardspan.sources.stage import materialise, shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +51,39 @@ def rounded(name: str) -> Column:
     return F.round(F.col(f"`{name}`").cast("double"), DIGITS).alias(name)
 
 
+# ---- sources and sinks
+
+
+@query("csv_scan")
+def csv_scan(spark, folder):
+    """Admissions written as gzip CSV among other columns, read back by name."""
+    path = f"{shared_folder(spark)}/wardspan/export-{uuid.uuid4().hex}"
+    given = roles.admissions(spark, folder)
+    export = given.select(F.lit('a "note", with commas').alias("note"), *reversed(given.columns))
+    export.write.options(header=True, compression="gzip", escape='"').csv(path)
+    stays = read_table(spark, path, schemas.ADMISSIONS)
+    times = [F.col(c).cast("string").alias(c) for c in ("admittime", "dischtime")]
+    return stays.select("hadm_id", "subject_id", "admission_type", *times)
+
+
+@query("stage_reuse")
+def stage_reuse(spark, folder):
+    """A stage built once, then answered from its table."""
+    base = f"{shared_folder(spark)}/wardspan/stages-{uuid.uuid4().hex}"
+
+    def kept():
+        return stage(
+            spark,
+            base,
+            "prescription_counts",
+            {"data": folder},
+            lambda: adm.prescription_counts(roles.prescriptions(spark, folder)),
+        )
+
+    kept()
+    return kept().select("hadm_id", big("num_prescriptions"))
+
+
 # ---- admissions and labels
 
 
@@ -71,7 +107,7 @@ def _labels(spark, folder, horizons):
 @query("readmit_label")
 def readmit_label(spark, folder):
     labels = _labels(spark, folder, {"readmit": 365})
-    return labels.select("hadm_id", big("gap_days"), big("readmit"))
+    return labels.select("hadm_id", F.col("gap_days").cast("double"), big("readmit"))
 
 
 @query("readmit_horizons")

@@ -34,10 +34,11 @@ def read_table(
     """Read ``columns`` of a CSV with a header, found by name in any order.
 
     A schema handed to the CSV reader would bind by position, so the file is
-    read as text (only the asked columns are parsed) and cast. One gzip file is
-    one task: give ``partitions`` to spread its rows before heavy work.
+    read as text (only the asked columns are parsed) and cast. Several files
+    must share one header; the reader refuses a file that differs. One gzip
+    file is one task: give ``partitions`` to spread its rows before heavy work.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
     missing = [f.name for f in columns if f.name not in raw.columns]
     if missing:
         raise ValueError(f"{path}: no column {missing}; the header has {raw.columns}")
