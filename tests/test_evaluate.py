@@ -85,12 +85,15 @@ def _model(df):
 
 def test_donors_are_a_permutation(spark):
     ranked = seeded_rank(spark.range(500).withColumn("x", F.col("id") * 2), "id", "s", rank="_rank")
-    got = donors(ranked, "id", ["x"], 0, "s")
-    assert rows(got.select("_donor.x")) == [(2 * i,) for i in range(500)]
-    moved = got.where(F.col("x") != F.col("_donor.x")).count()
-    assert moved > 480
-    again = donors(ranked.repartition(7), "id", ["x"], 0, "s").select("id", "_donor.x")
-    assert rows(got.select("id", "_donor.x")) == rows(again)
+    got = donors(ranked, "id", ["x"], 2, "s")
+    for repeat in (0, 1):
+        part = got.where(F.col("_repeat") == repeat)
+        assert rows(part.select("_donor.x")) == [(2 * i,) for i in range(500)]
+        assert part.where(F.col("x") != F.col("_donor.x")).count() > 480
+    by_id = got.groupBy("id").agg(F.count_distinct("_donor.x").alias("n"))
+    assert by_id.where("n = 2").count() > 480  # the repeats differ
+    again = donors(ranked.repartition(7), "id", ["x"], 2, "s").select("_repeat", "id", "_donor.x")
+    assert rows(got.select("_repeat", "id", "_donor.x")) == rows(again)
 
 
 def test_importance(spark):

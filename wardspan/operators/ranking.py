@@ -14,7 +14,7 @@ from wardspan.functions.seeded import seeded_hash
 
 def seeded_rank(
     df: DataFrame,
-    id_col: str,
+    id_col: str | Sequence[str],
     seed,
     strata: Sequence[str] = (),
     digits: int = 3,
@@ -22,7 +22,7 @@ def seeded_rank(
     size: str | None = None,
 ) -> DataFrame:
     """1-based rank by ``md5(seed|id)`` within each stratum; optionally the
-    stratum ``size``.
+    stratum ``size``. An id may be made of several columns.
 
     A window over a stratum would put a two-valued label in two tasks. The
     rank is taken in two levels instead: inside a bucket of the hash (16 to the
@@ -30,9 +30,10 @@ def seeded_rank(
     from a prefix sum over the bucket counts. Both the windows and the join run
     on the one shuffle by (stratum, bucket). ``df`` is scanned twice.
     """
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     stratum = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in strata])
     keyed = (
-        df.withColumn("_h", seeded_hash(seed, id_col))
+        df.withColumn("_h", seeded_hash(seed, *ids))
         .withColumn("_stratum", stratum if strata else F.lit(""))
         .withColumn("_bucket", F.substring("_h", 1, digits))
     )
@@ -45,7 +46,7 @@ def seeded_rank(
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_n").over(whole).alias("_size"),
     )
-    local = F.row_number().over(W.partitionBy("_stratum", "_bucket").orderBy("_h", id_col))
+    local = F.row_number().over(W.partitionBy("_stratum", "_bucket").orderBy("_h", *ids))
     ranked = (
         keyed.repartition("_stratum", "_bucket")
         .withColumn("_local", local)
