@@ -94,3 +94,14 @@ def test_medians_do_not_gather_values(spark):
     text = plan(median_table(df, ["x"]))
     assert "percentile(" not in text and "percentile_approx" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_hot_patients_still_cost_one_shuffle_of_the_admissions(stored, spark, no_broadcast):
+    sources = Sources(stored["admissions"], stored["patients"], *[None] * 3, *code_tables(spark))
+    text = re.sub(r"#\d+L?", "", plan(cohort(sources, FeatureParams(min_rows=1))))
+    assert text.count("REPARTITION_BY_COL") == 1
+    rows_sorted = "Sort [subject_id ASC NULLS FIRST, _piece ASC NULLS FIRST, admittime"
+    assert text.count(rows_sorted) == 1 and text.count("lead(") == 1
+    # By patient alone only the summary of the pieces is ever gathered.
+    for part in text.split("Exchange hashpartitioning(subject_id, 4)")[1:]:
+        assert part.split("\n")[1].lstrip(" :+-").startswith("HashAggregate(keys=[subject_id, _piece]")
