@@ -125,6 +125,28 @@ def test_materialise_writes_to_the_shared_folder(spark):
     assert shared_folder(spark) in got.inputFiles()[0]
 
 
+class _Session:
+    """A session as far as the choice of the folder looks at it."""
+
+    def __init__(self, master, folder=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = folder
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.folder or default
+
+
+def test_where_tables_go():
+    assert shared_folder(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+    own = shared_folder(_Session("local[4]"))
+    assert own and own == shared_folder(_Session("local[4]"))
+
+
 def test_feature_table_from_exports_and_again_from_cache(spark, tmp_path):
     data = _export(tmp_path / "data")
     cache = str(tmp_path / "cache")
