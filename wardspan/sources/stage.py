@@ -39,6 +39,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one computation, in a folder of their own that ends with it.
+
+    A result that outlives the computation is written with ``materialise``
+    first; then ``drop`` removes all that was only on the way to it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/wardspan/scratch-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` to a fresh folder and read it back."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _finished(spark: SparkSession, path: str) -> bool:
     """True where a writer left its success marker, on any Hadoop file system."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
