@@ -10,7 +10,7 @@ words as (
 ),
 sets as (
     select doc_id, case when len(w) >= 5
-        then list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i : i + 4], ' ')))
+        then list_distinct(list_transform(range(1, len(w) - 3), lambda i : array_to_string(w[i : i + 4], ' ')))
         when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
     from words
 ),
