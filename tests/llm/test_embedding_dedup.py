@@ -1,0 +1,59 @@
+import math
+
+import numpy as np
+import pytest
+
+from helpers import components
+from wardspan.llm.embedding_dedup import embedding_near_duplicates
+
+
+def links_of(rows, least=0.95):
+    good = {}
+    for key, (i, v) in enumerate(rows):
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            good[key] = np.array(v, float)
+    found = []
+    for x in good:
+        for y in good:
+            if x < y and len(good[x]) == len(good[y]):
+                a, b = good[x], good[y]
+                if a @ b / math.sqrt((a @ a) * (b @ b)) >= least:
+                    found.append((x, y))
+    return found
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, id string, size int")
+
+
+def test_odd_vectors_and_copies(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.1, 0.0]), (4, [0.0, 0.0, 0.0]), (5, None), (6, []),
+        (7, [1.0, nan, 0.0]), (8, [inf, 0.0, 0.0]), (9, [1.0, None, 0.0]), (10, [1.0, 0.0]), (None, [1.0, 0.0, 0.0]),
+        (11, [0.0, 1.0, 0.0]), (12, [0.0, 1.0, 0.0]), (13, [0.0, 1.0, -0.0]), (14, [-1.0, 0.0, 0.0]),
+    ]
+    links = links_of(rows)
+    group = components({i for i, _ in rows if i}, [(rows[a][0], rows[b][0]) for a, b in links])
+    want = [
+        (i, sum(k in link for link in links), group.get(i), i is None or group[i] == i) for k, (i, _) in enumerate(rows)
+    ]
+    got = embedding_near_duplicates(frame(spark, rows))
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert embedding_near_duplicates(frame(spark, rows).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.035])
+def test_recall_against_all_pairs(spark, noise):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((900, 64)) / 8
+    copies = base[rng.integers(0, 900, 600)] + rng.standard_normal((600, 64)) * noise
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, copies, copies[:5].repeat(40, 0)]).astype("f4"))]
+    got = {r.vec_id: r for r in embedding_near_duplicates(frame(spark, rows)).collect()}
+    links = links_of(rows)
+    found = sum(r.n_links for r in got.values()) / 2
+    assert 0.9 * len(links) <= found <= len(links)
+    group = components(got, links)
+    assert all(group[r.component_id] == group[k] for k, r in got.items())
+    assert sum(group[k] == r.component_id for k, r in got.items()) >= 0.95 * len(rows)

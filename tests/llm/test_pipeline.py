@@ -1,0 +1,41 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from helpers import documents
+from test_decontaminate import brute as windows
+from test_jaccard_join import brute as classes
+from wardspan.llm.pii import find, redact
+from wardspan.llm.queries import op3_toxicity
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_run_equals_the_steps_by_hand(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
+    toxic = {r.doc_id for r in op3_toxicity(spark, FOLDER).collect() if r.predicted}
+    left = [(i, t) for i, t in docs.items() if i not in toxic]
+    left = [(i, docs[i]) for i, _, c in classes(left) if i == c]
+    left = [(i, t) for i, t in left if not windows(t, items)[1]]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: [*tokenizer.encode(redact(t, find(t)), add_special_tokens=False).ids, 0] for i, t in left}
+    got = {}
+    for r in corpus_pipeline.run(spark, FOLDER).orderBy("doc_id", "start").collect():
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert got == want and 0 < len(want) < len(docs) and zlib.crc32(b"") == 0
+
+
+def test_stages_keep_columns_and_odd_rows(spark):
+    docs = documents(spark, [(1, None), (1, None), (None, "a b c d e f"), (2, ""), (3, "a b c d e f"), (4, "a b c d e f"), (5, "x@y.zz")])
+    docs = docs.selectExpr("*", "'en' as lang", "'s' as source", "cast(0 as long) as n_chars")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER)
+        assert {"doc_id", "text", "lang", "source", "n_chars"} <= set(docs.columns)
+    kept = sorted(((r.doc_id, r.text, r.n_chars) for r in docs.collect()), key=str)
+    assert kept == sorted([(1, None, None), (2, "", 0), (3, "a b c d e f", 11), (5, "[EMAIL]", 7), (None, "a b c d e f", 11)], key=str)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), FOLDER).count() == 0, name

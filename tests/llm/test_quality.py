@@ -1,0 +1,45 @@
+import random
+
+from helpers import documents
+from wardspan.llm.queries import op7_quality
+from wardspan.llm.quality import resample
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def labels(spark, rows):
+    return spark.createDataFrame([(i, q, "x") for i, q in rows], "doc_id long, quality int, text string")
+
+
+def test_good_texts_stay(spark):
+    rng = random.Random(1)
+    good, bad = [f"g{k}" for k in range(50)], [f"b{k}" for k in range(50)]
+    rows = [(k, " ".join(rng.choices(good if k % 4 else bad, k=40))) for k in range(400)]
+    known = labels(spark, [(k, int(k % 4 > 0)) for k in range(200)])
+    got = resample(documents(spark, rows), known, share=0.75).collect()
+    assert sum(r.kept for r in got) == 300
+    assert sum(r.kept and r.doc_id % 4 > 0 for r in got) >= 290
+    again = resample(documents(spark, rows).repartition(7), known, share=0.75).collect()
+    assert {r.doc_id for r in got if r.kept} == {r.doc_id for r in again if r.kept}
+
+
+def test_exact_share_without_labels_is_an_even_draw(spark):
+    rows = [(k, f"text {k}") for k in range(500)]
+    got = resample(documents(spark, rows), labels(spark, [(None, 1), (3, None)]), share=0.3).collect()
+    assert sum(r.kept for r in got) == 150 and {r.log_weight for r in got} == {0.0}
+    assert sum(r.kept and r.doc_id < 250 for r in got) in range(50, 101)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (3, "a " * 50_000), (4, "!?")]
+    got = resample(documents(spark, rows), labels(spark, [(3, 1)]))
+    assert got.columns == ["doc_id", "text", "log_weight", "drawn_key", "kept"] and got.count() == 6
+    assert {r.log_weight for r in got.where("doc_id in (1, 2)").collect()} == {0.0}
+    assert resample(documents(spark, rows).where("false"), labels(spark, [])).count() == 0
+
+
+def test_held_out_labels(spark):
+    got = {r.doc_id: r.kept for r in op7_quality(spark, FOLDER).collect()}
+    known = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
+    share = {q: [got[r.doc_id] for r in known if r.quality == q] for q in (0, 1)}
+    assert sum(share[1]) / len(share[1]) > 0.85 and sum(share[0]) / len(share[0]) < 0.35

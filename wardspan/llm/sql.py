@@ -33,6 +33,95 @@ select doc_id, cast(len(s) as bigint) as n_shingles,
 from sets
 """
 
+_WORDS = r"""
+words as (
+    select {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from {table}
+)"""
+
+OP4 = (
+    "with "
+    + _WORDS.format(key="doc_id", table="documents")
+    + r""",
+templates(label, t, k, place, base) as (
+    select label, string_split(t, ' '), string_split(k, ' '), place, base from (values
+        ('cc-by', 'cc by', 'cc by', 0, true),
+        ('gpl', 'general public license', 'general public license', 0, true),
+        ('reserved', 'all rights reserved', 'all rights reserved', 0, true),
+        ('mit', 'released under the mit license', 'mit license', 3, false),
+        ('mit', 'permission is hereby granted free of charge to any person obtaining a copy',
+            'permission is hereby granted free of charge', 0, false),
+        ('apache-2.0', 'licensed under the apache license version 2 0', 'apache license version 2 0', 3, false),
+        ('bsd', 'redistribution and use in source and binary forms with or without modification',
+            'redistribution and use in source and binary forms', 0, false),
+        ('cc-by-nc', 'licensed under cc by nc 4 0', 'cc by nc', 2, false),
+        ('cc-by-sa', 'licensed under cc by sa 4 0', 'cc by sa', 2, false),
+        ('cc0-1.0', 'creative commons cc0 1 0 universal', 'cc0 1 0', 2, false),
+        ('gpl-2.0', 'licensed under the gnu general public license version 2', 'general public license version 2', 4, false),
+        ('gpl-3.0', 'licensed under the gnu general public license version 3', 'general public license version 3', 4, false),
+        ('lgpl', 'gnu lesser general public license', 'lesser general public license', 1, false),
+        ('mpl-2.0', 'subject to the terms of the mozilla public license v 2 0', 'mozilla public license', 5, false),
+        ('unlicense', 'this is free and unencumbered software released into the public domain',
+            'free and unencumbered software', 2, false)
+    ) as v(label, t, k, place, base)
+),
+spots as (
+    select doc_id, label, t, w, place, base,
+        unnest(list_filter(range(len(w) - len(k) + 1), lambda i : w[i + 1 : i + len(k)] = k)) as i
+    from words, templates where list_has_all(w, k)
+),
+found as (
+    select doc_id, label, base, i - place as start,
+        len(list_filter(range(len(t)), lambda j : i - place + j >= 0 and w[i - place + j + 1] = t[j + 1])) / len(t) as share
+    from spots
+),
+by_doc as (
+    select doc_id, count(*) filter (base) as n_base, min(start) filter (base) as first_word,
+        max(start) filter (base) as last_word,
+        string_agg(distinct label, ',' order by label) filter (base) as base_labels,
+        string_agg(distinct label, ',' order by label) as labels, max(share) as score
+    from found group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+    coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from words left join by_doc using (doc_id)
+"""
+)
+
+OP5 = (
+    "with "
+    + _WORDS.format(key="doc_id", table="documents")
+    + ", "
+    + _WORDS.format(key="item_id", table="benchmark").replace("words as", "item_words as")
+    + r""",
+windows as (
+    select distinct item_id, least(10, len(w)) as size,
+        unnest(list_transform(range(len(w) - least(10, len(w)) + 1),
+            lambda i : array_to_string(w[i + 1 : i + least(10, len(w))], ' '))) as g
+    from item_words where len(w) > 0
+),
+sizes as (select distinct size from windows),
+grams as (
+    select doc_id, size, unnest(range(len(w) - size + 1)) as i,
+        unnest(list_transform(range(len(w) - size + 1), lambda i : array_to_string(w[i + 1 : i + size], ' '))) as g
+    from words, sizes where len(w) >= size
+),
+hits as (select doc_id, i, size, item_id from grams join windows using (size, g)),
+hit_words as (select distinct doc_id, unnest(range(i, i + size)) as word from (select distinct doc_id, i, size from hits)),
+counted as (select doc_id, count(*) as n_hit from hit_words group by doc_id),
+named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join counted using (doc_id) left join named using (doc_id)
+"""
+)
+
 SQL = {
     "op1_jaccard_join": OP1,
+    "op4_licences": OP4,
+    "op5_decontaminate": OP5,
 }

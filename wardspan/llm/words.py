@@ -64,7 +64,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and the offset of each text; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -75,7 +75,7 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_numbers(column: pa.Array, separators: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The number of every word of all texts, and where each text's words begin."""
-    data, offsets = _bytes(column)
+    data, offsets = text_bytes(column)
     values, size = _values(separators), len(data)
     edges = np.zeros(size + 1, bool)
     edges[offsets] = True
