@@ -67,3 +67,14 @@ def test_salted_lookup_spreads_the_hot_key(spark):
     names = spark.range(200).select(F.col("id").alias("key"), (F.col("id") * 2).alias("name"))
     salted = salted_lookup(df, names, ["key"], min_rows=10)
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_next_value_where_the_next_row_has_none(spark):
+    """Hot and plain paths agree though some rows of the hot key have no order value."""
+    data = [(7, None if i % 50 == 0 else (i * 37) % 900, i) for i in range(2000)]
+    df = spark.createDataFrame(data, "key long, t long, id long").repartition(5)
+    groups = OrderedGroups(df, "key", ["t", "id"], min_rows=100)
+    assert groups.cuts is not None
+    w = W.partitionBy("key").orderBy("t", "id")
+    want = df.withColumn("next_t", F.lead("t").over(w))
+    assert rows(groups.next_value(groups.rows, "t", "next_t"), "id", "next_t") == rows(want, "id", "next_t")

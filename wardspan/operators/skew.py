@@ -99,9 +99,9 @@ class OrderedGroups:
             .drop("_cuts", "_key")
         )
 
-    def _carry(self, rows: DataFrame, summary: Column, carried: Column) -> DataFrame:
-        """Adds ``_carried``: ``carried`` over the per-piece ``summary``."""
-        pieces = self._cut_rows.groupBy(self.key, "_piece").agg(summary.alias("_s"))
+    def _carry(self, rows: DataFrame, carried: Column, **summary: Column) -> DataFrame:
+        """Adds ``_carried``: ``carried`` over the per-piece columns ``summary``."""
+        pieces = self._cut_rows.groupBy(self.key, "_piece").agg(*[c.alias(n) for n, c in summary.items()])
         carry = pieces.select(
             F.col(self.key).alias("_key"), F.col("_piece").alias("_at"), carried.alias("_carried")
         )
@@ -116,7 +116,7 @@ class OrderedGroups:
             return counted
         pieces = W.partitionBy(self.key).orderBy("_piece")
         before = F.sum("_s").over(pieces.rowsBetween(W.unboundedPreceding, -1))
-        counted = self._carry(counted, F.count(F.lit(1)), before)
+        counted = self._carry(counted, before, _s=F.count(F.lit(1)))
         return counted.withColumn(out, F.col(out) + F.coalesce("_carried", F.lit(0))).drop("_carried")
 
     def next_value(
@@ -124,14 +124,19 @@ class OrderedGroups:
     ) -> DataFrame:
         """``value`` of the following row. ``value`` is the leading order
         column. Where ``rows`` were filtered, ``kept`` is that filter."""
-        led = rows.withColumn(out, F.lead(value).over(self._window))
         if self.cuts is None:
-            return led
-        first = F.min(F.when(kept, F.col(value)) if kept is not None else F.col(value))
-        pieces = W.partitionBy(self.key).orderBy("_piece")
-        later = F.min("_s").over(pieces.rowsBetween(1, W.unboundedFollowing))
-        led = self._carry(led, first, later)
-        return led.withColumn(out, F.coalesce(out, "_carried")).drop("_carried")
+            return rows.withColumn(out, F.lead(value).over(self._window))
+        # Wrapped, so that a next row whose own value is NULL still counts as one.
+        row = F.struct(F.col(value).alias("value"))
+        led = rows.withColumn("_next", F.lead(row).over(self._window))
+        here = F.lit(True) if kept is None else kept
+        none, low = F.max(F.when(here, F.col(value).isNull())), F.min(F.when(here, F.col(value)))
+        pieces = W.partitionBy(self.key).orderBy("_piece").rowsBetween(1, W.unboundedFollowing)
+        # NULL comes before all values, so one in any later piece is the next row.
+        later = F.when(~F.max("_none").over(pieces), F.min("_low").over(pieces))
+        led = self._carry(led, later, _none=none, _low=low)
+        following = F.when(F.col("_next").isNotNull(), F.col("_next.value")).otherwise(F.col("_carried"))
+        return led.withColumn(out, following).drop("_carried", "_next")
 
     def lookup(self, rows: DataFrame, dimension: DataFrame) -> DataFrame:
         """Left join of a table with one row per group key, on the shuffle the
