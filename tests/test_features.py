@@ -193,3 +193,13 @@ def test_feature_table(spark, min_rows):
     assert by_id[101]["num_prescriptions"] == 3 and by_id[104]["num_prescriptions"] == 0
     assert by_id[103]["lab_creatinine_max"] == 2.5 and by_id[103]["lab_hemoglobin_max"] == 0.0
     assert by_id[301]["admission_type_SURGICAL SAME DAY ADMISSION"] == 1
+
+
+def test_comorbidity_refuses_repeated_weights(spark):
+    import pytest
+
+    s = sources(spark)
+    twice = s.weights.unionByName(s.weights.limit(1))
+    for mask_groups in (0, 248):
+        with pytest.raises(ValueError, match="more than one weight row"):
+            comorbidity_scores(s.diagnoses, s.code_map, twice, mask_groups=mask_groups)

@@ -26,6 +26,9 @@ def normalise_codes(diagnoses: DataFrame, column: str = "icd_code") -> DataFrame
 
 def _groups(code_map: DataFrame, weights: DataFrame) -> DataFrame:
     """(comorbidity, w_readmit, w_mortality), no weight counting as 0."""
+    twice = weights.groupBy("comorbidity").count().where("count > 1").limit(5).collect()
+    if twice:
+        raise ValueError(f"more than one weight row for {[r['comorbidity'] for r in twice]}")
     weighted = code_map.select("comorbidity").distinct().join(weights, "comorbidity", "left")
     return weighted.select("comorbidity", "w_readmit", "w_mortality").na.fill(0.0)
 
