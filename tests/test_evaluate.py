@@ -15,7 +15,7 @@ def scored(spark):
 
 def test_confusion(spark, scored):
     assert rows(evaluate.confusion_counts(scored)) == [(0, 0, 50), (0, 1, 10), (1, 0, 5), (1, 1, 15)]
-    assert rows(evaluate.confusion_matrix(scored, [0, 1, 2])) == [(0, 50, 10, 0), (1, 5, 15, 0)]
+    assert rows(evaluate.confusion_matrix(scored, [0, 1, 2])) == [(0, 50, 10, 0), (1, 5, 15, 0), (2, 0, 0, 0)]
 
 
 def test_report(spark, scored):
@@ -108,3 +108,11 @@ def test_importance(spark):
         1, metric="weighted avg",
     )
     assert by_f1.first()["importance_mean"] == pytest.approx(0.5, abs=0.05)
+
+
+def test_matrix_is_complete_or_refused(spark):
+    absent = spark.createDataFrame([(0, 0), (0, 1), (0, 0)], "label int, prediction int")
+    assert rows(evaluate.confusion_matrix(absent, [0, 1])) == [(0, 2, 1), (1, 0, 0)]
+    other = spark.createDataFrame([(0, 0), (0, 1), (0, 2)], "label int, prediction int")
+    with pytest.raises(Exception, match="class outside the list"):
+        evaluate.confusion_matrix(other, [0, 1]).collect()

@@ -65,3 +65,10 @@ def test_random_numbers_look_random(spark):
     assert 0 < stats[0] < 0.001 and 0.999 < stats[1] < 1
     assert abs(stats[2] - 0.5) < 0.01 and abs(stats[3]) < 0.03
     assert abs(stats[4] - 1) < 0.03 and abs(stats[5]) < 0.03
+
+
+def test_strata_of_several_columns_stay_apart(spark):
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c")]
+    df = spark.createDataFrame([(i, *pairs[i % 4]) for i in range(80)], "id long, x string, y string")
+    folds = kfold(df, "id", 5, strata=["x", "y"]).groupBy("x", "y", "fold").count()
+    assert {r["count"] for r in folds.collect()} == {4} and folds.count() == 20

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def confusion_counts(
@@ -22,12 +23,21 @@ def confusion_counts(
 def confusion_matrix(
     df: DataFrame, classes: Sequence, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row per true class, one column ``predicted_<class>`` per class."""
+    """One row per class, one column ``predicted_<class>`` per class, absent
+    classes as zeros. A label or prediction outside ``classes`` is an error
+    when the result is read."""
+    counts = confusion_counts(df, label, prediction)
+    known = F.col("label").isin(*classes) & F.col("prediction").isin(*classes)
+    message = F.concat(F.lit("class outside the list: "), F.concat_ws(", ", "label", "prediction"))
+    checked = F.when(known, F.col("label")).otherwise(F.raise_error(message))
     cells = [
         F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n")).otherwise(0)).alias(f"predicted_{c}")
         for c in classes
     ]
-    return confusion_counts(df, label, prediction).groupBy("label").agg(*cells)
+    given = counts.withColumn("label", checked).groupBy("label").agg(*cells)
+    every = F.array(*map(F.lit, classes)).cast(T.ArrayType(counts.schema["label"].dataType))
+    rows = df.sparkSession.range(1).select(F.explode(every).alias("label"))
+    return rows.join(given, "label", "left").na.fill(0, [f"predicted_{c}" for c in classes])
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:

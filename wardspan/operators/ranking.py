@@ -31,10 +31,11 @@ def seeded_rank(
     on the one shuffle by (stratum, bucket). ``df`` is scanned twice.
     """
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
-    stratum = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in strata])
+    parts = [F.col(f"`{c}`").alias(f"s{i}") for i, c in enumerate(strata)]
+    stratum = F.struct(*parts) if parts else F.lit("")
     keyed = (
         df.withColumn("_h", seeded_hash(seed, *ids))
-        .withColumn("_stratum", stratum if strata else F.lit(""))
+        .withColumn("_stratum", stratum)
         .withColumn("_bucket", F.substring("_h", 1, digits))
     )
     cells = keyed.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
