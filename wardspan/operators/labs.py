@@ -79,5 +79,9 @@ def lab_features(
 
 
 def align(frames: Sequence[DataFrame], key: str) -> DataFrame:
-    """Full outer alignment on ``key`` of tables with one row per key."""
-    return reduce(lambda left, right: left.join(right, key, "full"), frames)
+    """Tables with one row per key side by side: every key of any table, NULL
+    where a table lacks it. One shuffle for all tables, which combines first; a
+    NULL key is one key like any other."""
+    stacked = reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), frames)
+    values = [c for c in stacked.columns if c != key]
+    return stacked.groupBy(key).agg(*[F.first(f"`{c}`", ignorenulls=True).alias(c) for c in values])

@@ -3,10 +3,27 @@ tricks (no buckets, pieces, sketches or cells), to check them against."""
 
 from __future__ import annotations
 
-from wardspan.operators.label import HORIZONS
-from wardspan.operators.labs import LAB_ITEMS
-from wardspan.plans import roles
-from wardspan.plans.features import LAB_COLUMNS
+# Fixed values, written out here again so that a wrong one in the library shows.
+TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "9-SCHEDULED")
+ITEMS_F = (50912, 51222, 51002, 50813, 50862, 50983, 99991)
+ITEMS_O = (50889, 51237, 50912, 51222, 50813, 99992, 99993)
+HORIZONS = {"readmit_30d": 30, "readmit_1y": 365.24, "readmit_5y": 1826.2}
+LAB_ITEMS = {
+    50912: {"lab_creatinine_max": "max", "lab_creatinine_last": "last"},
+    51222: {"lab_hemoglobin_max": "max", "lab_hemoglobin_last": "last"},
+    51002: {"lab_troponin_i_max": "max"},
+    50813: {"lab_lactate_max": "max", "lab_lactate_last": "last"},
+    50862: {"lab_albumin_mean": "mean"},
+    50983: {"lab_sodium_mean": "mean"},
+    50889: {"lab_crp_max": "max"},
+    51237: {"lab_inr_max": "max", "lab_inr_last": "last"},
+    50910: {"lab_creatine_kinase_max": "max"},
+}
+LAB_COLUMNS = (
+    "lab_creatinine_max", "lab_creatinine_last", "lab_hemoglobin_max", "lab_hemoglobin_last", "lab_inr_max",
+    "lab_inr_last", "lab_creatine_kinase_max", "lab_lactate_max", "lab_lactate_last", "lab_albumin_mean",
+    "lab_sodium_mean", "lab_crp_max",
+)
 
 
 def _md5(seed, *parts: str) -> str:
@@ -26,7 +43,7 @@ def _list(values) -> str:
     return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-_TYPES = _list(roles.TYPES)
+_TYPES = _list(TYPES)
 
 _ADM = """adm as (
   select o_custkey as subject_id, o_orderkey as hadm_id, o_orderdate as admittime,
@@ -63,7 +80,7 @@ def _age(table: str) -> str:
 
 
 _ONE_HOT = ", ".join(
-    f"cast(admission_type = '{t}' as bigint) as \"admission_type_{t}\"" for t in roles.TYPES
+    f"cast(admission_type = '{t}' as bigint) as \"admission_type_{t}\"" for t in TYPES
 )
 
 _DX = """dx as (
@@ -89,8 +106,8 @@ _RX = """rx as (
 
 _LABEVENTS = f"""labevents as (
   select l_orderkey as hadm_id,
-         case when l_linestatus = 'F' then ([{_list(roles.ITEMS_F)}])[l_linenumber]
-              else ([{_list(roles.ITEMS_O)}])[l_linenumber] end as itemid,
+         case when l_linestatus = 'F' then ([{_list(ITEMS_F)}])[l_linenumber]
+              else ([{_list(ITEMS_O)}])[l_linenumber] end as itemid,
          case when l_quantity <= 45 then l_quantity end as valuenum,
          row(l_shipdate, l_partkey, l_suppkey, l_linenumber) as order_key
   from lineitem)"""
@@ -100,18 +117,18 @@ _LAB_AGGREGATE = {
     "mean": "avg(valuenum) filter (where itemid = {i})",
     "last": "arg_max(valuenum, order_key) filter (where itemid = {i} and valuenum is not null)",
 }
-_ALL_LABS = [c for item in LAB_ITEMS for c in item.columns]
+_ALL_LABS = [c for columns in LAB_ITEMS.values() for c in columns]
 _LABS = (
     f"""{_LABEVENTS},
 labs as (
   select hadm_id, """
     + ", ".join(
-        f"cast({_LAB_AGGREGATE[kind].format(i=item.itemid)} as double) as {column}"
-        for item in LAB_ITEMS
-        for kind, column in zip(item.aggregates, item.columns)
+        f"cast({_LAB_AGGREGATE[kind].format(i=item)} as double) as {column}"
+        for item, columns in LAB_ITEMS.items()
+        for column, kind in columns.items()
     )
     + f"""
-  from labevents where itemid in ({_list(i.itemid for i in LAB_ITEMS)}) group by hadm_id)"""
+  from labevents where itemid in ({_list(LAB_ITEMS)}) group by hadm_id)"""
 )
 
 
@@ -142,7 +159,7 @@ wide as (
   left join labs on labs.hadm_id = labelled.hadm_id)
 select hadm_id, readmit, elix_mortality, elix_readmit, prior_admissions, num_prescriptions,
        has_chronic, age_65_plus, {_filled(LAB_COLUMNS, 'wide')},
-       {", ".join(f'"admission_type_{t}"' for t in roles.TYPES)}
+       {", ".join(f'"admission_type_{t}"' for t in TYPES)}
 from wide"""
 
 
@@ -289,6 +306,98 @@ select level, round(avg(cast((p0 > 0.5) <> (p1 > 0.5) as integer)), 6) as flip_r
 from scored group by level"""
 
 
+_FLAGS = ("has_chronic", "age_65_plus", *(f"admission_type_{t}" for t in TYPES), "many_priors", "many_prescriptions")
+_VALUES = f"""flagged as (
+  select labelled.hadm_id, readmit, [
+      coalesce(has_chronic, 0), {_age('labelled')},
+      {", ".join(f"cast(admission_type = '{t}' as bigint)" for t in TYPES)},
+      cast(prior_admissions > 5 as bigint), cast(coalesce(num_prescriptions, 0) >= 4 as bigint)]::double[] as v
+  from labelled
+  left join patients using (subject_id)
+  left join scores on scores.hadm_id = labelled.hadm_id
+  left join rx on rx.hadm_id = labelled.hadm_id)"""
+_STUDY = f"""{_LABELLED}, {_PATIENTS}, {_COMORBIDITY}, {_RX}, {_VALUES},
+split as (
+  select *, r <= ceil(0.2 * n) as is_test
+  from (select *, {_rank(42, 'hadm_id', 'readmit')} as r, count(*) over (partition by readmit) as n from flagged)),
+even as (
+  select hadm_id from (
+    select hadm_id, {_rank(42, 'hadm_id', 'readmit')} as r from split where not is_test)
+  where r <= (select min(n) from (select count(*) as n from split where not is_test group by readmit)))"""
+
+
+def _stump(name: str, train: str, groups: str = "") -> str:
+    """CTEs: the split with the largest Gini gain over ``train`` (readmit, v), and the share of 1 in its leaves."""
+    by = f"{groups}, " if groups else ""
+    window = f"partition by {groups} " if groups else ""
+    return f"""{name}_cells as (
+  select {by}feature, x, count(*) as n, sum(readmit) as pos
+  from (select {by}readmit, unnest(range(1, len(v) + 1)) as feature, unnest(v) as x from {train}) group by all),
+{name}_best as (
+  select {by}feature from {name}_cells group by {by}feature having count(*) = 2
+  qualify row_number() over ({window}order by
+    round(sum(n * (1 - (pos / n) * (pos / n) - (1 - pos / n) * (1 - pos / n))) / sum(n), 12), feature) = 1),
+{name}_leaf as (select {by}feature, x, pos / n as share from {name}_cells join {name}_best using ({by}feature))"""
+
+
+def _f1(rows: str, groups: str = "") -> str:
+    """Weighted F1 of ``rows`` (readmit, p)."""
+    by = f" group by {groups}" if groups else ""
+    return f"select {groups + ', ' if groups else ''}{_weighted_f1('readmit', 'p')} as f1 from {rows}{by}"
+
+
+def _forest_importance() -> str:
+    repeats = " union all ".join(
+        f"select {r} as repeat, {_rank(f'42|{r}', 'hadm_id')} as rank, x from tested" for r in range(5)
+    )
+    return f"""
+with {_STUDY}, train as (select readmit, v from split join even using (hadm_id)), {_stump('one', 'train')},
+tested as (select hadm_id, readmit, v[feature] as x from split, one_best where is_test),
+base as (select *, {_rank('42|rows', 'hadm_id')} as rank from tested),
+donors as ({repeats}),
+drops as (
+  select repeat, {_accuracy('readmit', 'cast(a.share > 0.5 as bigint)')}
+    - {_accuracy('readmit', 'cast(b.share > 0.5 as bigint)')} as dropped
+  from base join donors using (rank) join one_leaf a on a.x = base.x join one_leaf b on b.x = donors.x
+  group by repeat),
+names(place, feature) as (values {", ".join(f"({i + 1}, '{f}')" for i, f in enumerate(_FLAGS))})
+select names.feature, case when one_best.feature is null then 0.0 else round(avg(dropped), 6) end as importance_mean,
+       case when one_best.feature is null then 0.0 else round(stddev_pop(dropped), 6) end as importance_std
+from names left join one_best on one_best.feature = place, drops group by names.feature, one_best.feature"""
+
+
+def _variants() -> str:
+    """Reports of the stump on clean rows, rows with gaps (read as 0), and gaps filled by medians of training rows."""
+    holes = ", ".join(
+        f"case when {_uniform(42, 'hadm_id', chr(39) + f + chr(39))} >= 0.3 then v[{i + 1}] end"
+        for i, f in enumerate(_FLAGS)
+    )
+    middle = ", ".join(f"(select coalesce(median(h[{i + 1}]), 0.0) from holed where not is_test)" for i in range(len(_FLAGS)))
+    parts, reports = [], []
+    for name, values in (
+        ("clean", "v"),
+        ("noisy", "list_transform(h, lambda x: coalesce(x, 0.0))"),
+        ("cleaned", "list_transform(range(1, len(h) + 1), lambda i: coalesce(h[i], m[i]))"),
+    ):
+        parts.append(f"""{name}_rows as (select hadm_id, readmit, is_test, {values} as v from holed, medians),
+{name}_train as (select readmit, v from {name}_rows join even using (hadm_id)), {_stump(name, f'{name}_train')},
+{name}_scored as (
+  select readmit as label, cast(share > 0.5 as bigint) as prediction
+  from {name}_rows, {name}_leaf where is_test and v[feature] = x)""")
+        report = _REPORT.removeprefix(f"{_SCORED},").replace("scored", f"{name}_scored")
+        for cte in ("classes", "counts", "prf", "report"):
+            report = report.replace(f"{cte} as", f"{name}_{cte} as").replace(f"from {cte}", f"from {name}_{cte}")
+        parts.append(report.replace("pr as (", f"{name}_pr as (").replace("from pr)", f"from {name}_pr)"))
+        reports.append(f"""select '{name}' as variant, name, round(precision, 6) as precision,
+       round(recall, 6) as recall, round(f1, 6) as f1, cast(support as bigint) as support from {name}_report""")
+    return f"""
+with {_STUDY},
+holed as (select *, [{holes}] as h from split),
+medians as (select [{middle}] as m),
+{", ".join(parts)}
+{" union all ".join(reports)}"""
+
+
 SQL: dict[str, str] = {
     "csv_scan": f"""
 with {_ADM}
@@ -323,7 +432,7 @@ with {_ADM} select hadm_id, {_ONE_HOT} from adm where admission_type in ({_TYPES
 with {_ADM}
 select hadm_id, {", ".join(
     f"cast(admission_type = '{t}' as bigint) as \"admission_type_{t}\""
-    for t in (*roles.TYPES[:4], '5-LOW'))}
+    for t in (*TYPES[:4], '5-LOW'))}
 from adm""",
     "code_normalise": f"with {_DX} select hadm_id, icd_code from dx",
     "comorbidity_score": f"""
@@ -331,15 +440,7 @@ with {_COMORBIDITY} select hadm_id, elix_readmit, elix_mortality, has_chronic fr
     "prescription_counts": f"with {_RX} select hadm_id, num_prescriptions from rx",
     "lab_features": f"with {_LABS} select hadm_id, {_round(_ALL_LABS)} from labs",
     "lab_align": f"""
-with {_LABEVENTS},
-albumin as (select hadm_id, avg(valuenum) as v from labevents where itemid = 50862 group by 1),
-sodium as (select hadm_id, avg(valuenum) as v from labevents where itemid = 50983 group by 1),
-crp as (select hadm_id, max(valuenum) as v from labevents where itemid = 50889 group by 1)
-select coalesce(a.hadm_id, s.hadm_id, c.hadm_id) as hadm_id,
-       round(a.v, 6) as lab_albumin_mean, round(s.v, 6) as lab_sodium_mean,
-       round(c.v, 6) as lab_crp_max
-from albumin a full join sodium s on a.hadm_id = s.hadm_id
-full join crp c on c.hadm_id = coalesce(a.hadm_id, s.hadm_id)""",
+with {_LABS} select hadm_id, {_round(_ALL_LABS)} from labs""",
     "median_impute": f"with {_LABS} select hadm_id, {_filled(_ALL_LABS, 'labs')} from labs",
     "lab_medians": f"""
 with {_LABS}
@@ -428,6 +529,52 @@ union all
 select seed_id, copy, made.cls, round(s.x + u * (t.x - s.x)),
        round((s.y + u * (t.y - s.y)) * 10000.0, 6)
 from made join pts s on s.id = seed_id join pts t on t.id = neighbour_id""",
+    "rf_predict_exact": f"""
+with {_STUDY}, train as (select readmit, v from split join even using (hadm_id)), {_stump('one', 'train')}
+select hadm_id, cast(share > 0.5 as bigint) as prediction, round(share, 6) as probability
+from split, one_leaf where is_test and v[feature] = x""",
+    "forest_importance_exact": _forest_importance(),
+    "cv_tune_exact": f"""
+with {_LABELLED}, {_PATIENTS}, {_COMORBIDITY}, {_RX}, {_VALUES},
+even as (
+  select * from (select *, {_rank(42, 'hadm_id', 'readmit')} as r from flagged)
+  where r <= (select min(n) from (select count(*) as n from flagged group by readmit))),
+folded as (select *, ({_rank(42, 'hadm_id')} - 1) % 10 as fold from even),
+folds as (select distinct fold from folded),
+train as (select folds.fold, readmit, v from folded join folds on folded.fold <> folds.fold),
+{_stump('one', 'train', 'fold')},
+split_rows as (
+  select fold, readmit, cast(share > 0.5 as bigint) as p from folded join one_leaf using (fold) where v[feature] = x),
+whole as (select fold, cast(avg(readmit) > 0.5 as bigint) as p from train group by fold),
+whole_rows as (select fold, readmit, p from folded join whole using (fold)),
+scores_ as (
+  select 0 as trial, avg(f1) as f1 from ({_f1('split_rows', 'fold')})
+  union all select 1, avg(f1) from ({_f1('whole_rows', 'fold')}))
+select cast(trial as bigint) as trial, round(f1, 6) as weighted_f1,
+       cast(f1 = (select max(f1) from scores_) as bigint) as is_best
+from scores_""",
+    "quality_compare_exact": _variants(),
+    "confusion_matrix_absent": f"""
+with {_SCORED}
+select c as label, count(*) filter (where label = c and prediction = 0) as predicted_0,
+       count(*) filter (where label = c and prediction = 1) as predicted_1,
+       count(*) filter (where label = c and prediction = 2) as predicted_2
+from scored, (values (0::bigint), (1), (2)) classes(c) group by c""",
+    "clean_null_keys": """
+with given as (
+  select case when o_custkey % 5 <> 0 then o_custkey end as o_custkey, o_orderpriority, o_orderkey from orders)
+select o_custkey, o_orderpriority, min(o_orderkey) as o_orderkey from given
+where o_custkey is not null group by o_custkey, o_orderpriority
+union all
+select o_custkey, o_orderpriority, o_orderkey from given where o_custkey is null""",
+    "quality_profile_keys": """
+select 'l_quantity' as column_name, 'missing' as metric,
+       round(avg(cast(l_quantity is null as integer)), 6) as share from lineitem
+union all
+select 'l_quantity', 'out_of_range', round(avg(cast(l_quantity not between 5 and 45 as integer)), 6) from lineitem
+union all
+select 'l_orderkey+l_suppkey', 'duplicated',
+       round((count(*) - count(distinct (l_orderkey, l_suppkey))) / count(*), 6) from lineitem""",
     "confusion_matrix": f"""
 with {_SCORED}
 select label, count(*) filter (where prediction = 0) as predicted_0,
@@ -456,6 +603,6 @@ ordered as (
 select round(cast(sum(pos * (below + neg / 2)) as double) / (sum(pos) * sum(neg)), 6) as roc_auc
 from ordered""",
     "permutation_importance": _importance(_accuracy, 5),
-    "permutation_importance_f1": _importance(_weighted_f1, 2),
+    "permutation_importance_f1": _importance(_weighted_f1, 5),
     "stability": _stability(),
 }

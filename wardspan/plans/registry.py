@@ -15,10 +15,9 @@ from wardspan.operators.forest import draw_trials, tune
 from wardspan.operators.importance import permutation_importance
 from wardspan.operators.label import HORIZONS, readmit_labels
 from wardspan.operators.labs import LAB_ITEMS, align, lab_features
-from wardspan.operators.skew import lookup
 from wardspan.operators.smote import smote, synthetic_points
 from wardspan.plans import roles, studies
-from wardspan.plans.features import LAB_COLUMNS, assemble, build_features, cohort
+from wardspan.plans.features import LAB_COLUMNS, build_features, cohort
 from wardspan.plans.training import train_and_evaluate
 from wardspan.sources import schemas
 from wardspan.sources.readers import read_table
@@ -31,8 +30,8 @@ DIGITS = 6
 ALL_LABS = tuple(name for item in LAB_ITEMS for name in item.columns)
 TYPE_COLUMNS = tuple(roles.PARAMS.type_columns)
 FEATURES = tuple(roles.PARAMS.features)
-# Small forests: the learner's cost is not what these queries are about.
-FOREST = {"numTrees": 10, "maxDepth": 5, "minInstancesPerNode": 3}
+# One point inside the search ranges, for the queries that do not search.
+FOREST = {"numTrees": 50, "maxDepth": 8, "minInstancesPerNode": 3}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -181,11 +180,10 @@ def lab_features_query(spark, folder):
 
 @query("lab_align")
 def lab_align(spark, folder):
-    """Per-item results put side by side on the admission."""
+    """Per-item results of all items put side by side on the admission."""
     events = roles.labevents(spark, folder)
-    frames = [lab_features(events, [item]) for item in LAB_ITEMS if item.name in ("albumin", "sodium", "crp")]
-    columns = ["lab_albumin_mean", "lab_sodium_mean", "lab_crp_max"]
-    return align(frames, "hadm_id").select("hadm_id", *[rounded(c) for c in columns])
+    frames = [lab_features(events, [item]) for item in LAB_ITEMS]
+    return align(frames, "hadm_id").select("hadm_id", *[rounded(c) for c in ALL_LABS])
 
 
 @query("median_impute")
@@ -279,6 +277,23 @@ def clean_ranges(spark, folder):
     )
 
 
+@query("clean_null_keys")
+def clean_null_keys(spark, folder):
+    """Repeats of a customer and priority removed; orders without a customer all stay."""
+    orders = roles.table(spark, folder, "orders").select(
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderpriority", "o_orderkey"
+    )
+    return quality.drop_duplicates(orders, ["o_custkey", "o_orderpriority"], ["o_orderkey"])
+
+
+@query("quality_profile_keys")
+def quality_profile_keys(spark, folder):
+    """Share of rows that repeat a key of two columns."""
+    lines = roles.table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    profile = quality.quality_profile(lines, ["l_orderkey", "l_suppkey"], {"l_quantity": (5.0, 45.0)})
+    return profile.select("column_name", "metric", rounded("share"))
+
+
 @query("quality_profile")
 def quality_profile(spark, folder):
     events = roles.labevents(spark, folder)
@@ -345,6 +360,13 @@ def _scored(spark, folder):
     )
 
 
+@query("confusion_matrix_absent")
+def confusion_matrix_absent(spark, folder):
+    """With a class that nobody has and nobody is predicted to have."""
+    matrix = evaluate.confusion_matrix(_scored(spark, folder), [0, 1, 2])
+    return matrix.select(*[big(c) for c in ("label", "predicted_0", "predicted_1", "predicted_2")])
+
+
 @query("confusion_matrix")
 def confusion_matrix(spark, folder):
     matrix = evaluate.confusion_matrix(_scored(spark, folder), [0, 1])
@@ -404,7 +426,7 @@ def permutation_importance_rule(spark, folder):
 def permutation_importance_f1(spark, folder):
     """The same by weighted F1 instead of accuracy."""
     table = permutation_importance(
-        _rule_rows(spark, folder), "hadm_id", RULE_FEATURES, "readmit", _rule, 2, metric="weighted avg"
+        _rule_rows(spark, folder), "hadm_id", RULE_FEATURES, "readmit", _rule, 5, metric="weighted avg"
     )
     return table.select("feature", rounded("importance_mean"), rounded("importance_std"))
 
@@ -431,7 +453,62 @@ def stability(spark, folder):
     return result.select("level", *[rounded(c) for c in result.columns if c != "level"])
 
 
-# ---- forests (no SQL form; row counts and schema are stable)
+# ---- forests
+
+# One tree of one split on all rows and all 0/1 features leaves nothing to
+# chance, so SQL can work out the same split, leaves and scores.
+STUMP = {"numTrees": 1, "maxDepth": 1, "minInstancesPerNode": 1}
+CERTAIN = {"bootstrap": False, "featureSubsetStrategy": "all"}
+FLAGS = ("has_chronic", "age_65_plus", *TYPE_COLUMNS, "many_priors", "many_prescriptions")
+
+
+def _flags(spark, folder):
+    flagged = _table(spark, folder).withColumns(
+        {
+            "many_priors": (F.col("prior_admissions") > 5).cast("int"),
+            "many_prescriptions": (F.col("num_prescriptions") >= 4).cast("int"),
+        }
+    )
+    return materialise(flagged.select("hadm_id", "readmit", *[f"`{c}`" for c in FLAGS]), "flags")
+
+
+def _stump_study(spark, folder, repeats):
+    table = _flags(spark, folder)
+    return train_and_evaluate(
+        table, "hadm_id", "readmit", FLAGS, {**STUMP, **CERTAIN}, balancing="undersample", repeats=repeats
+    )
+
+
+@query("rf_predict_exact")
+def rf_predict_exact(spark, folder):
+    """Split, undersampling, a certain forest and its predictions on the test rows."""
+    predictions = _stump_study(spark, folder, 0).predictions
+    return predictions.select("hadm_id", "prediction", rounded("probability"))
+
+
+@query("forest_importance_exact")
+def forest_importance_exact(spark, folder):
+    importance = _stump_study(spark, folder, 5).importance
+    return importance.select("feature", rounded("importance_mean"), rounded("importance_std"))
+
+
+@query("cv_tune_exact")
+def cv_tune_exact(spark, folder):
+    """Ten folds of the undersampled rows; the second trial may not split at all."""
+    rows = materialise(ranking.undersample(_flags(spark, folder), "hadm_id", "readmit"), "even")
+    trials = [STUMP, {**STUMP, "minInstancesPerNode": 2_000_000_000}]
+    table = tune(rows, "hadm_id", FLAGS, "readmit", trials, folds=10, fixed=CERTAIN)
+    return table.select(big("trial"), rounded("weighted_f1"), big("is_best"))
+
+
+@query("quality_compare_exact")
+def quality_compare_exact(spark, folder):
+    """Clean rows, rows with gaps, and rows whose gaps are filled by training medians."""
+    report = studies.quality_compare(
+        _flags(spark, folder), "hadm_id", "readmit", FLAGS, {**STUMP, **CERTAIN}, level=0.0, missing_rate=0.3,
+        ranges={c: (0.0, 1.0) for c in FLAGS}, balancing="undersample",
+    )
+    return report.select("variant", "name", *[rounded(c) for c in ("precision", "recall", "f1")], big("support"))
 
 
 def _table(spark, folder):
@@ -440,7 +517,7 @@ def _table(spark, folder):
 
 @query("rf_predict")
 def rf_predict(spark, folder):
-    """The whole study: split, SMOTE, forest, report on the test rows."""
+    """Split, SMOTE, forest and report on the test rows."""
     result = train_and_evaluate(
         _table(spark, folder), "hadm_id", "readmit", FEATURES, FOREST, repeats=0
     )
@@ -450,23 +527,23 @@ def rf_predict(spark, folder):
 @query("forest_importance")
 def forest_importance(spark, folder):
     result = train_and_evaluate(
-        _table(spark, folder), "hadm_id", "readmit", FEATURES, FOREST, balancing=None, repeats=2
+        _table(spark, folder), "hadm_id", "readmit", FEATURES, FOREST, repeats=5
     )
     return result.importance
 
 
 @query("cv_tune")
 def cv_tune(spark, folder):
+    """Five trials on ten folds; trees and depth are small, as there are 50 fits."""
     ranges = {"numTrees": (3, 6), "maxDepth": (3, 5), "minInstancesPerNode": (3, 45)}
     return tune(
-        _table(spark, folder), "hadm_id", FEATURES, "readmit", draw_trials(2, 42, ranges), folds=3
+        _table(spark, folder), "hadm_id", FEATURES, "readmit", draw_trials(5, 42, ranges), folds=10
     )
 
 
 @query("quality_compare")
 def quality_compare(spark, folder):
-    ranges = {c: (1.0, 45.0) for c in LAB_COLUMNS[:6]}
-    columns = [*LAB_COLUMNS[:6], "prior_admissions", "num_prescriptions"]
+    ranges = {c: (1.0, 45.0) for c in LAB_COLUMNS}
     return studies.quality_compare(
-        _table(spark, folder), "hadm_id", "readmit", columns, FOREST, ranges=ranges
+        _table(spark, folder), "hadm_id", "readmit", FEATURES, FOREST, ranges=ranges
     )
