@@ -9,7 +9,6 @@ length. Every document is handled alone, so there is no exchange at all.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +19,17 @@ from pyspark.sql import functions as F
 ROOM = 4 << 20
 
 
-@cache
+_encoders: dict = {}
+
+
 def _encoder(vocabulary: str):
     """Encoder of a rank file, found by name among the installed vocabularies or by path.
 
     Ids equal those of the JSON vocabulary of the same name in ``tokenizers``,
     its end-of-text mark included; the rank file is several times faster.
     """
+    if vocabulary in _encoders:
+        return _encoders[vocabulary]
     import base64
     import os
 
@@ -36,12 +39,13 @@ def _encoder(vocabulary: str):
     path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(
+    _encoders[vocabulary] = tiktoken.Encoding(
         "ranks",
         pat_str=public_tokenizers.PATTERN,
         mergeable_ranks=ranks,
         special_tokens={"<|endoftext|>": len(ranks)},
     )
+    return _encoders[vocabulary]
 
 
 def piece_lengths(tokens: int, longest: int) -> list[int]:

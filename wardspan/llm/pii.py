@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import pandas as pd
 import pyarrow as pa
@@ -31,8 +30,12 @@ _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456
 _IBAN = re.compile(r"[\s:#=]{0,4}(?:no\.?|number|nr\.?)?[\s:#=]{0,4}([A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 
 
-@cache
+_automata: dict = {}
+
+
 def _anchors():
+    if "anchors" in _automata:
+        return _automata["anchors"]
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
@@ -47,6 +50,7 @@ def _anchors():
     for cue in ("IBAN", "iban", "Iban"):
         automaton.add_word(cue, ("iban", 4))
     automaton.make_automaton()
+    _automata["anchors"] = automaton
     return automaton
 
 

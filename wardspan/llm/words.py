@@ -9,8 +9,6 @@ comparison get the same number with a chance of about 2**-64.
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,19 +30,21 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
-@cache
+_tables: dict[bytes, np.ndarray] = {}
+_powers: dict[str, np.ndarray] = {}
+
+
 def _values(separators: bytes) -> np.ndarray:
     """A random number for each byte, 0 for separators; A-Z as a-z."""
+    if separators in _tables:
+        return _tables[separators]
     rng = np.random.Generator(np.random.PCG64(20_250_101))
     values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
     upper = np.frombuffer(UPPER.encode(), np.uint8)
     values[upper] = values[upper + 32]
     drop = [b for b in separators if not 65 <= b <= 90]
     values[drop] = 0
-    return values
-
-
-_powers: dict[str, np.ndarray] = {}
+    return _tables.setdefault(separators, values)
 
 
 def _power(base: int, n: int) -> np.ndarray:
