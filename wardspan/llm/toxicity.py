@@ -16,7 +16,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
 from math import ceil, log
 
 import pandas as pd
@@ -29,8 +28,8 @@ from wardspan.sources.stage import Scratch
 
 #: Labelled rows that weights are learned from, about, however many there are.
 LABELLED_ROWS = 20_000
-#: Words and stems learned, at most.
-LEARNED = 5000
+#: Words and stems learned in a turn, and turns, at most.
+A_TURN, TURNS = 16, 8
 #: Letters of a stem.
 STEM = 4
 #: Reach of a target or a negation, in words.
@@ -79,7 +78,6 @@ def _after(first: int, second: int, mark: str) -> Transducer:
     return Transducer(0, {(0, first): (1, ()), (1, second): (1, (mark,))}, {})
 
 
-@cache
 def grammar() -> Transducer:
     """The composition of all patterns: one machine whose states are tuples of theirs."""
     parts = (
@@ -124,6 +122,7 @@ class Scorer:
         self.stems = {w[:-1].encode(): p for w, p in weights.terms.items() if w[-1] == "*"}
         self.lengths = sorted({len(s) for s in self.stems})
         self.symbols = {w.encode(): s for ws, s in ((REPORTS, _REPORT), (NEGATIONS, _NEGATION), (TARGETS, _TARGET), (THREATS, _THREAT)) for w in ws}
+        self.machine = grammar()
         self.threats = frozenset(w.encode() for w in THREATS)
 
     def term(self, word: bytes) -> float:
@@ -141,7 +140,7 @@ class Scorer:
         insults = {w: p for w in every if (p := self.term(w))}
         if not insults and every.isdisjoint(self.threats):
             return []
-        found, machine = [], grammar()
+        found, machine = [], self.machine
         for clause in _CLAUSE.split(raw):
             words = clause.translate(_TABLE).split()
             best, marks, state = 0.0, set(), machine.start
@@ -166,20 +165,28 @@ class Scorer:
         return 1 - (1 - best) / (1 + 0.1 * max(0.0, more - best))
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and clean texts of the task hold each word and stem."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = {w.decode() for w in (text or "").encode().translate(_TABLE).split()}
-            counts[toxic].update(words | {f"{w[:STEM]}*" for w in words if len(w) > STEM})
-    names = list(counts[0].keys() | counts[1].keys())
-    for k in range(0, len(names), 50_000):
-        part = names[k : k + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part), *(pa.array([counts[x][w] for w in part], pa.int64()) for x in (1, 0))],
-            names=["term", "toxic", "clean"],
-        )
+def _terms(explained: Weights):
+    """How many toxic and clean texts of the task hold each word and stem; toxic texts with a known insult don't count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        scorer = Scorer(explained)
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = set(text.encode().translate(_TABLE).split())
+                if toxic and any(map(scorer.term, found)):
+                    continue
+                words = {w.decode() for w in found}
+                counts[toxic].update({*words, *(f"{w[:STEM]}*" for w in words if len(w) > STEM), ""})
+        names = list(counts[0].keys() | counts[1].keys())
+        for k in range(0, len(names), 50_000):
+            part = names[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), *(pa.array([counts[x][w] for w in part], pa.int64()) for x in (1, 0))],
+                names=["term", "toxic", "clean"],
+            )
+
+    return run
 
 
 def _marked(weights: Weights):
@@ -201,26 +208,43 @@ def _marked(weights: Weights):
 def fit_weights(labelled: DataFrame) -> Weights:
     """Weights from ``labelled`` (text, toxic 0 or 1), each distinct text once.
 
-    A word or stem is taken where at least four in five texts that hold it are
-    toxic and where so many toxic texts would not come together by chance for
-    any of the words counted. Rows with a null are left out; without labelled
-    rows the known words stand.
+    Words and stems are taken in turns, those of most toxic texts first, where
+    at least four in five texts that hold one are toxic and so many toxic texts
+    would not come together by chance for any of the words counted. Later turns
+    count only the toxic texts that hold none taken so far, so the other words
+    of copied texts don't count as insults. Rows with a null are left out;
+    without labelled rows the known words stand.
     """
     scratch = Scratch(labelled.sparkSession)
     sample = labelled.where("toxic in (0, 1) and text is not null")
     sample = scratch.write(sample.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")), "labelled")
+    learned: dict[str, float] = {}
     terms = dict.fromkeys(INSULTS, 0.8)
-    counts = sample.mapInArrow(_terms, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
-    sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
-    toxic, every = sizes.get(1, 0), sum(sizes.values())
-    if 0 < toxic < every:
-        least = ceil(log(0.5 / max(1, counts.where("toxic + clean >= 3").count())) / log(toxic / every))
-        best = counts.where((F.col("toxic") >= max(3, least)) & (F.col("toxic") >= 4 * F.col("clean")))
-        best = best.where(~F.col("term").isin(*TARGETS, *NEGATIONS, *REPORTS))
-        for term, a, b in best.orderBy(F.desc("toxic"), "clean", "term").limit(LEARNED).collect():
-            terms[term] = (a + 0.5) / (a + b + 1)
+    for turn in range(TURNS):
+        counts = sample.mapInArrow(_terms(Weights(learned)), "term string, toxic long, clean long")
+        counts = scratch.write(
+            counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "counts"
+        )
+        size = counts.where("term = ''").first()
+        if turn == 0:
+            for term, a, b in counts.where(F.col("term").isin(*INSULTS)).collect():
+                terms[term] = (4 + a) / (5 + a + b)
+        if not size or not size["toxic"] or not size["clean"]:
+            break
+        chance = size["toxic"] / (size["toxic"] + size["clean"])
+        least = ceil(log(0.5 / max(1, counts.where("toxic + clean >= 3").count())) / log(chance))
+        best = counts.where((F.col("toxic") >= max(4, least)) & (F.col("toxic") >= 4 * F.col("clean")))
+        best = best.where(~F.col("term").isin("", *TARGETS, *NEGATIONS, *REPORTS))
+        new = 0
+        worth = F.desc(F.col("toxic") - 4 * F.col("clean"))
+        for term, a, b in best.orderBy(worth, F.col("term").endswith("*"), "term").limit(20 * A_TURN).collect():
+            near = {term, f"{term[:STEM]}*", *(w for w in learned if w[:STEM] == term[:STEM])}
+            if new < A_TURN and near.isdisjoint(learned):
+                learned[term] = (a + 0.5) / (a + b + 1)
+                new += 1
+        if not new:
+            break
+    terms |= learned
     weights = Weights(terms)
     seen = Counter()
     for mark, label, n in (
