@@ -17,10 +17,11 @@ where texts share content at all, and pivots work inside:
    coordinates of two points differ by no more in total than the sets do (a
    triangle inequality over 128 synthetic pivots). The rest is compared whole.
 4. Points within the radius of the pivot join its class. A region whose points
-   are all in one class is finished. In any other, the points outside the class
-   and those on its boundary, which the triangle inequality over the pivot does
-   not separate, go on in the next round without the pivot and with more pivots
-   a region, until no region holds two classes with an untried pair.
+   are all in one class is finished. In any other, the points outside its
+   largest class are the next pivots, compared with all points, those on the
+   boundary included, that the triangle inequality over the first pivot and the
+   coordinates do not separate. A region with more such points than a round takes
+   goes on in the next, until no untried pair of two classes is left.
 
 A region is read as a sorted stream with only its pivots in memory. A group of
 n near copies costs about n comparisons, as all regions agree on the pivot.
@@ -40,13 +41,18 @@ from wardspan.llm.components import components
 from wardspan.llm.words import shingle_sets
 from wardspan.sources.stage import Scratch, materialise
 
-CELLS = 128
-#: A shingle in one of so many texts of a task is reported, in one of so many of all texts is frequent.
-SHARE_OF_TASK, SHARE_OF_ALL = 500, 1000
+#: Cells of the hash range as coordinates, and how many travel with the rows of a region.
+CELLS, COARSE = 128, 64
+#: A shingle of so many texts of a task is reported, one of so many of all texts is frequent.
+TASK_TEXTS, ALL_TEXTS = 4, 32
+#: Texts hashed at a time.
+SLICE = 256
 #: So many shingles at most are treated as frequent (8 MB); the rest keep their place in the order.
 FREQUENT = 1 << 20
-#: Counters a task keeps, and pivots of a region in the second round; four times as many in each later one.
-COUNTERS, PIVOTS = 1 << 18, 32
+#: Counters a task keeps, and pivots of a region in the second round; eight times as many in each later one.
+COUNTERS, PIVOTS = 1 << 18, 256
+#: Bits of the filter that keeps texts without a pair from being hashed and sent again.
+MARKS = 1 << 24
 
 
 def _overlap(n, m, percent):
@@ -54,6 +60,13 @@ def _overlap(n, m, percent):
     return -((-percent * (n + m)) // (100 + percent))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a few at a time, which bounds what hashing holds."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
 def _profiles(width: int):
     """Per text size and fingerprint of its set; per task its frequent shingles."""
 
@@ -74,7 +87,7 @@ def _profiles(width: int):
                 new, total = new[best], total[best]
             return new, total
 
-        for batch in batches:
+        for batch in _slices(batches):
             sets = shingle_sets(batch.column(1), width)
             prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             texts += len(sets)
@@ -89,7 +102,7 @@ def _profiles(width: int):
                 names=["id", "n", "print", "shingle", "texts"],
             )
         keys, counts = merged()
-        often = counts >= max(8, texts // SHARE_OF_TASK)
+        often = counts >= max(TASK_TEXTS, texts // 2000)
         size = int(often.sum())
         yield pa.RecordBatch.from_arrays(
             [
@@ -110,8 +123,8 @@ def _prefixes(width: int, percent: int, frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
-        for batch in batches:
-            heads, cells, sizes, prints = [], [], [], []
+        for batch in _slices(batches):
+            heads, cells, coarse, sizes, prints = [], [], [], [], []
             for s in shingle_sets(batch.column(1), width):
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if len(often):
@@ -122,7 +135,8 @@ def _prefixes(width: int, percent: int, frequent):
                     ordered = s
                 heads.append(ordered[: len(s) + (-percent * len(s)) // 100 + 1].view(np.int64))
                 count = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=CELLS)
-                cells.append(np.minimum(count, 65535).astype("<u2").tobytes())
+                cells.append(np.minimum(count, 255).astype(np.uint8).tobytes())
+                coarse.append(np.minimum(count.reshape(COARSE, -1).sum(1), 255).astype(np.uint8).tobytes())
                 sizes.append(len(s))
             bounds = np.cumsum([0, *map(len, heads)])
             values = np.concatenate(heads) if heads else np.empty(0, np.int64)
@@ -133,8 +147,9 @@ def _prefixes(width: int, percent: int, frequent):
                     pa.array(prints, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values)),
                     pa.array(cells, pa.binary()),
+                    pa.array(coarse, pa.binary()),
                 ],
-                names=["id", "n", "print", "head", "cells"],
+                names=["id", "n", "print", "head", "cells", "coarse"],
             )
 
     return run
@@ -165,36 +180,75 @@ def _first_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _fits(n, at, m, other, percent):
-    """Whether sizes and the places of a shared shingle let two sets be similar."""
-    return (100 * min(n, m) >= percent * max(n, m)) and min(n - at, m - other) >= _overlap(n, m, percent)
+class _Pivots:
+    """The pivots of one region so far, and which of them a point must be compared with."""
+
+    def __init__(self, percent: int, room: int, cells: int):
+        self.percent, self.room, self.count = percent, room, 0
+        self.whole = np.zeros((4, 64), np.int64)  # id, size, place of the shingle, class
+        self.far = np.zeros(64)
+        self.cells = np.zeros((64, cells), np.int16)
+
+    def add(self, row: tuple, far: float, cells: np.ndarray) -> bool:
+        if self.count == self.room:
+            return False
+        if self.count == len(self.far):
+            self.whole = np.concatenate([self.whole, self.whole], axis=1)
+            self.far, self.cells = np.tile(self.far, 2), np.tile(self.cells, (2, 1))
+        self.whole[:, self.count], self.far[self.count], self.cells[self.count] = row, far, cells
+        self.count += 1
+        return True
+
+    def near(self, row: tuple, far: float, cells: np.ndarray) -> np.ndarray:
+        """Ids of pivots of other classes that no window rules out."""
+        _, n, at, label = row
+        ids, sizes, places, labels = self.whole[:, : self.count]
+        overlap = _overlap(sizes, n, self.percent)
+        fits = (labels != label) & (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n))
+        fits &= np.minimum(sizes - places, n - at) >= overlap
+        # The distances to the region's first pivot, NaN where they weren't worked out.
+        fits &= ~(np.abs(self.far[: self.count] - far) > 1 - self.percent / 100 + 1e-9)
+        left = np.flatnonzero(fits)
+        apart = np.abs(self.cells[left] - cells).sum(1, dtype=np.int64)
+        return ids[left[apart <= sizes[left] + n - 2 * overlap[left]]]
 
 
 def _more_pivots(pivots: int, percent: int):
-    """Rows sorted by shingle and id: untried pairs with a region's first points, and the points left."""
+    """Rows sorted by shingle, late and id: untried pairs, and the points of regions that aren't finished.
+
+    The late rows of a region are those of its largest class; the others are
+    its pivots. Once all of them have been compared with all rows, what is left
+    is one class, and the region is finished.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, chosen = None, []
+        region, chosen, full = None, None, False
         for batch in batches:
-            out = {"a": [], "b": [], "row": []}
-            fields = [batch.column(i).to_pylist() for i in range(6)]
-            for k, (shingle, point, n, at, label, far) in enumerate(zip(*fields)):
+            if not batch.num_rows:
+                continue
+            a, b, left = [], [], []
+            shingles, late = batch.column(0).to_pylist(), batch.column(7).to_pylist()
+            rows = np.stack([np.asarray(batch.column(i)) for i in (1, 2, 3, 4)], axis=1)
+            far = batch.column(5).to_numpy(zero_copy_only=False).astype(float)
+            cells = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(len(rows), -1).astype(np.int16)
+            for k, shingle in enumerate(shingles):
                 if shingle != region:
-                    region, chosen = shingle, []
-                for other, m, place, group, away in chosen:
-                    if group == label or (far is not None and away is not None and abs(far - away) > 1 - percent / 100 + 1e-9):
-                        continue
-                    if _fits(n, at, m, place, percent):
-                        out["a"].append(other), out["b"].append(point), out["row"].append(None)
-                if len(chosen) < pivots:
-                    chosen.append((point, n, at, label, far))
-                else:
-                    out["a"].append(None), out["b"].append(None), out["row"].append(k)
-            picks = pa.array(out["row"], pa.int64())
+                    region, chosen, full = shingle, _Pivots(percent, pivots, cells.shape[1]), False
+                if chosen.count:
+                    found = chosen.near(rows[k], far[k], cells[k])
+                    a += found.tolist()
+                    b += [rows[k, 0]] * len(found)
+                if not late[k] and not chosen.add(rows[k], far[k], cells[k]):
+                    full = True
+                    left.append(k)
+                elif late[k] and full:
+                    left.append(k)
+            picks = pa.array([None] * len(a) + left, pa.int64())
+            gap = [None] * len(left)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["a"], pa.int64()), pa.array(out["b"], pa.int64())]
-                + [batch.column(i).take(picks) for i in range(6)],
-                names=["a", "b", "shingle", "id", "n", "at", "label", "far"],
+                [pa.array(a + gap, pa.int64()), pa.array(b + gap, pa.int64())]
+                + [batch.column(i).take(picks) for i in (0, 1, 2, 3, 5)],
+                names=["a", "b", "shingle", "id", "n", "at", "far"],
             )
 
     return run
@@ -208,11 +262,11 @@ def _near(percent: int):
             if not batch.num_rows:
                 continue
             left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, CELLS).astype(np.int32)
+                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
                 for i in (3, 5)
             )
             n, m = np.asarray(batch.column(2)), np.asarray(batch.column(4))
-            apart = np.abs(left - right).sum(1)
+            apart = np.abs(left - right).sum(1, dtype=np.int64)
             keep = apart <= n + m - 2 * _overlap(n, m, percent)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"]
@@ -221,15 +275,35 @@ def _near(percent: int):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, wanted):
+    """Sets of the texts whose place is marked in the bits ``wanted``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        marked = wanted.value
+        for batch in _slices(batches):
+            place = np.asarray(batch.column(2))
+            batch = batch.filter(pa.array((marked[place >> 3] >> (place & 7) & 1).astype(bool)))
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["id", "points"])
 
     return run
 
 
+def _place(id_):
+    return F.pmod(F.xxhash64(id_), F.lit(MARKS))
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """One bit per place of the hash range, set where an id falls: 2 MB for any number of ids."""
+    bits = np.zeros(MARKS // 8, np.uint8)
+    place = _place(F.col("id")) + 1  # bitmaps count from 1: bucket 1 holds 1 to 32768
+    maps = ids.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)))
+    for k, part in maps.collect():
+        at = (k - 1) * len(part)
+        bits[at : at + len(part)] |= np.frombuffer(bytes(part), np.uint8)
+    return bits
+
+
 def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,7 +329,9 @@ def _verify(pairs, cells, texts, width, percent, scratch) -> DataFrame:
     pairs = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "na", "ca", "nb", "cb")
     pairs = scratch.write(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = texts.join(ids, "id", "left_semi").mapInArrow(_sets(width), "id long, points binary").distinct()
+    wanted = texts.sparkSession.sparkContext.broadcast(_marks(ids))
+    placed = texts.select("id", "text", _place(F.col("id")).alias("place"))
+    sets = placed.mapInArrow(_sets(width, wanted), "id long, points binary").join(ids, "id", "left_semi").distinct()
     sets = scratch.write(sets, "sets")
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("points").alias("x")), "a")
@@ -266,13 +342,13 @@ def _verify(pairs, cells, texts, width, percent, scratch) -> DataFrame:
     return scratch.write(compared, "compared")
 
 
-def _frequent(profiles: DataFrame, texts: int) -> np.ndarray:
+def _frequent(profiles: DataFrame) -> np.ndarray:
     """Sorted numbers of the frequent shingles, FREQUENT at most; they only steer the order."""
     found = (
         profiles.where("shingle is not null")
         .groupBy("shingle")
         .agg(F.sum("texts").alias("texts"))
-        .where(F.col("texts") >= max(8, texts // SHARE_OF_ALL))
+        .where(F.col("texts") >= ALL_TEXTS)
         .orderBy(F.desc("texts"), "shingle")
         .limit(FREQUENT)
         .select("shingle")
@@ -301,12 +377,12 @@ def ngram_jaccard_join(
     profiles = texts.mapInArrow(_profiles(width), "id long, n long, print binary, shingle long, texts long")
     profiles = scratch.write(profiles, "profiles")
     own = profiles.where("n is not null").select("id", "n", "print")
-    frequent = spark.sparkContext.broadcast(_frequent(profiles, own.count()))
+    frequent = spark.sparkContext.broadcast(_frequent(profiles))
 
     points = own.where("id is not null and n > 0")
     least = scratch.write(points.groupBy("print").agg(F.min("id").alias("rep")), "least")
     heads = named.mapInArrow(
-        _prefixes(width, percent, frequent), "id long, n long, print binary, head array<long>, cells binary"
+        _prefixes(width, percent, frequent), "id long, n long, print binary, head array<long>, cells binary, coarse binary"
     )
     standing = least.select(F.col("rep").alias("id"), "print")
     heads = heads.where("n > 0").dropDuplicates(["id", "print"]).join(standing, ["id", "print"], "left_semi")
@@ -328,23 +404,23 @@ def ngram_jaccard_join(
     far = tried.groupBy(F.col("a").alias("pivot"), F.col("b").alias("id")).agg(F.min("far").alias("far"))
     left = regions.join(far, ["pivot", "id"], "left").select("shingle", "id", "n", "at", "far")
     pivots = PIVOTS
-    while True:
+    while not left.isEmpty():
         classes = components(links, scratch).withColumnRenamed("node", "id")
         members = left.join(classes, "id", "left").withColumn("label", F.coalesce("component", "id"))
-        unlike = members.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-        members = members.join(unlike.select("shingle"), "shingle", "left_semi")
-        members = members.select("shingle", "id", "n", "at", "label", "far")
-        step = members.repartition("shingle").sortWithinPartitions("shingle", "id").mapInArrow(
+        sizes = members.groupBy("shingle", "label").agg(F.count("*").alias("size"))
+        unlike = sizes.groupBy("shingle").agg(F.max_by("label", "size").alias("top"), F.count("*").alias("labels"))
+        members = members.join(unlike.where("labels > 1").select("shingle", "top"), "shingle")
+        members = members.join(heads.select("id", "coarse"), "id").withColumn("late", F.col("label") == F.col("top"))
+        members = members.select("shingle", "id", "n", "at", "label", "far", "coarse", "late")
+        step = members.repartition("shingle").sortWithinPartitions("shingle", "late", "id").mapInArrow(
             _more_pivots(pivots, percent),
-            "a long, b long, shingle long, id long, n long, at long, label long, far double",
+            "a long, b long, shingle long, id long, n long, at long, far double",
         )
         step = scratch.write(step, "round")
-        if step.isEmpty():
-            break
         found = _verify(step.where("a is not null").select("a", "b"), cells, named, width, percent, scratch)
         links = links.unionByName(found.where("linked").select("a", "b"))
         left = step.where("shingle is not null").select("shingle", "id", "n", "at", "far")
-        pivots *= 4
+        pivots *= 8
     copies = points.join(least, "print").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     classes = components(links.unionByName(copies), scratch).withColumnRenamed("node", "id")
     result = own.select("id", "n").join(classes, "id", "left").select(
