@@ -1,8 +1,11 @@
 import random
 import re
 
+from hashlib import sha256
+
 from helpers import documents
 from wardspan.llm.pii import find, find_pii, redact
+from wardspan.llm.queries import op6_pii
 
 RULES = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -64,3 +67,15 @@ def test_odd_rows(spark):
     seen = {(r.doc_id, len(r.spans), None if r.text is None else len(r.redacted)) for r in got.collect()}
     assert seen == {(1, 0, None), (2, 0, 0), (None, 1, 7), (3, 1, 300_000 + 9 + 6000), (4, 1, 4)}
     assert find_pii(documents(spark, rows).where("false")).count() == 0
+
+
+def test_query_over_the_table(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = op6_pii(spark, folder).collect()
+    assert len(got) == len(texts) and sum(r.n_email + r.n_phone for r in got) > 0
+    for r in got:
+        own = brute(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, _, _ in own) for kind in RULES]
+        assert r.base_sha256 == sha256(",".join(f"{k}:{a}:{b}" for k, a, b in own).encode()).hexdigest()
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in find(texts[r.doc_id]))

@@ -77,10 +77,13 @@ def _joined(spans: Column) -> Column:
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = find_pii(_table(spark, folder, "documents"))
     base = KINDS[:4]
-    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in base]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
     own = F.filter("spans", lambda s: s.kind.isin(*base))
     return found.select(
-        "doc_id", *counts, F.sha2(_joined(own), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+        "doc_id", *map(count, base), F.sha2(_joined(own), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
     )
 
 
