@@ -166,3 +166,11 @@ def test_feature_table_from_exports_and_again_from_cache(spark, tmp_path):
         _gzip(path, [header.strip()])
     longer = hospital_features(spark, data, cache, *tables, time_delta_days=400)
     assert longer.agg({"readmit": "sum", "num_prescriptions": "sum"}).first()[:] == (4, 4)
+
+
+def test_changed_weights_are_not_answered_by_an_older_stage(spark):
+    from wardspan.sources.stage import content_mark
+
+    _, weights = code_tables(spark)
+    assert content_mark(weights) == content_mark(weights.repartition(3))
+    assert content_mark(weights) != content_mark(weights.withColumn("w_readmit", weights.w_readmit + 1))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from wardspan.operators.label import label_columns, with_gap
 from wardspan.operators.labs import LAB_ITEMS, LabItem, lab_features
 from wardspan.operators.skew import MIN_HOT_ROWS
 from wardspan.sources.readers import read_hospital
-from wardspan.sources.stage import materialise, stage
+from wardspan.sources.stage import content_mark, materialise, stage
 
 BASE_FEATURES = (
     "elix_mortality",
@@ -162,17 +162,26 @@ def hospital_features(
     time_delta_days: float = 365,
     partitions: int | None = None,
     version: str = "1",
+    params: FeatureParams | None = None,
 ) -> DataFrame:
     """Feature table of a folder of hospital exports, kept under ``cache_path``.
 
-    Admissions, patients and the aggregates are kept once per data path, the
-    result once per horizon, so another horizon reads no large export again.
-    Change ``version`` when the exports, the code map or the weights change.
+    Admissions, patients and the aggregates are kept once per data path, code
+    map, weights and ``params``, the result once per horizon as well, so another
+    horizon reads no large export again. Change ``version`` when the exports
+    change. ``time_delta_days`` is the horizon, whatever ``params`` says.
     """
-    params = FeatureParams(horizons={"readmit": time_delta_days})
+    params = replace(params or FeatureParams(), horizons={"readmit": time_delta_days})
+    given = {
+        "data": data_path,
+        "version": version,
+        "code_map": content_mark(code_map),
+        "weights": content_mark(weights),
+        "params": repr(replace(params, horizons={})),
+    }
 
     def kept(name: str, build: Callable[[], DataFrame], **more) -> DataFrame:
-        return stage(spark, cache_path, name, {"data": data_path, "version": version, **more}, build)
+        return stage(spark, cache_path, name, {**given, **more}, build)
 
     def build() -> DataFrame:
         tables = read_hospital(spark, data_path, partitions)

@@ -404,6 +404,18 @@ with {_ADM}
 select hadm_id, subject_id, admission_type, cast(admittime as varchar) as admittime,
        cast(dischtime as varchar) as dischtime
 from adm""",
+    "hospital_scan": f"""
+with {_ADM}, {_PATIENTS}, {_DX}, {_LABEVENTS},
+held(table_name, id, value) as (
+  select 'admissions', hadm_id, cast(subject_id as double) from adm
+  union all select 'patients', subject_id, anchor_age from patients
+  union all select 'diagnoses_icd', hadm_id, length(icd_code) + 1 from dx
+  union all select 'prescriptions', l_orderkey, case when l_orderkey % 97 <> 0 then l_orderkey end from lineitem
+  union all select 'labevents', hadm_id, case when hadm_id % 89 <> 0 then valuenum end from labevents)
+select table_name, count(*) as n, count(*) filter (where id % 97 <> 0) as n_ids,
+       cast(sum(id) filter (where id % 97 <> 0) as bigint) as sum_ids, count(value) as n_values,
+       round(sum(value), 2) as sum_values
+from held group by table_name""",
     "stage_reuse": f"with {_RX} select hadm_id, num_prescriptions from rx",
     "prior_admissions": f"""
 with {_ADM}, {_PRIOR}

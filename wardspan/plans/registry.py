@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from wardspan.plans import roles, studies
 from wardspan.plans.features import LAB_COLUMNS, build_features, cohort
 from wardspan.plans.training import train_and_evaluate
 from wardspan.sources import schemas
-from wardspan.sources.readers import read_table
+from wardspan.sources.readers import read_hospital, read_table
 from wardspan.sources.stage import materialise, shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,49 @@ def csv_scan(spark, folder):
     return stays.select("hadm_id", "subject_id", "admission_type", *times)
 
 
+@query("hospital_scan")
+def hospital_scan(spark, folder):
+    """The five hospital tables as gzip CSV, with odd ids and values, read back: what each holds."""
+    base = f"{shared_folder(spark)}/wardspan/exports-{uuid.uuid4().hex}"
+    tables = {
+        "admissions": roles.admissions(spark, folder),
+        "patients": roles.patients(spark, folder),
+        "diagnoses_icd": roles.diagnoses(spark, folder),
+        "prescriptions": roles.prescriptions(spark, folder),
+        "labevents": roles.labevents(spark, folder).withColumn("labevent_id", F.col("hadm_id")),
+    }
+    keys = {"patients": "subject_id"}
+    values = {
+        "admissions": F.col("subject_id"),
+        "patients": F.col("anchor_age"),
+        "diagnoses_icd": F.length("icd_code"),
+        "prescriptions": F.col("hadm_id"),
+        "labevents": F.col("valuenum"),
+    }
+    for name, table in tables.items():
+        key = keys.get(name, "hadm_id")
+        number = F.col(key)
+        odd = F.when(number % 97 == 0, "n/a").when(number % 2 == 0, F.concat(number.cast("string"), F.lit(".0")))
+        dirty = {key: F.coalesce(odd, number.cast("string"))}
+        if name == "labevents":
+            dirty["valuenum"] = F.when(number % 89 == 0, "NaN").otherwise(F.col("valuenum").cast("string"))
+        export = table.withColumns(dirty).select(F.lit('a "note", with commas').alias("note"), *reversed(table.columns))
+        export.write.options(header=True, compression="gzip", escape='"').csv(f"{base}/hosp/{name}.csv.gz")
+    held = [
+        table.select(
+            F.lit(name).alias("table_name"), F.col(keys.get(name, "hadm_id")).alias("id"), values[name].cast("double").alias("value")
+        )
+        for name, table in read_hospital(spark, base).items()
+    ]
+    return reduce(DataFrame.unionByName, held).groupBy("table_name").agg(
+        F.count("*").alias("n"),
+        F.count("id").alias("n_ids"),
+        F.sum("id").alias("sum_ids"),
+        F.count("value").alias("n_values"),
+        F.round(F.sum("value"), 2).alias("sum_values"),
+    )
+
+
 @query("stage_reuse")
 def stage_reuse(spark, folder):
     """A stage built once, then answered from its table."""

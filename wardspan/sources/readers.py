@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from wardspan.functions.clinical import null_nan
 from wardspan.sources.schemas import TABLES
 
+SMALL = ("admissions", "patients")
+
 
 def _typed(name: str, dtype: T.DataType) -> Column:
     """Text to type; unreadable text and NaN become NULL."""
@@ -49,9 +51,14 @@ def read_table(
 def read_hospital(
     spark: SparkSession, folder: str, partitions: int | None = None
 ) -> dict[str, DataFrame]:
-    """The five hospital tables under ``<folder>/hosp/<table>.csv.gz``."""
+    """The five hospital tables under ``<folder>/hosp/<table>.csv.gz``.
+
+    Rows of the large exports are spread over ``partitions``, by default as
+    many as the cluster runs tasks; the two small tables stay as they are read.
+    """
+    spread = partitions or spark.sparkContext.defaultParallelism
     return {
-        name: read_table(spark, f"{folder}/hosp/{name}.csv.gz", schema, partitions)
+        name: read_table(spark, f"{folder}/hosp/{name}.csv.gz", schema, None if name in SMALL else spread)
         for name, schema in TABLES.items()
     }
 
