@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardspan.llm.sharding import KEY_BITS, splitters
-from wardspan.llm.words import SPACES, mix, text_bytes, word_numbers
+from wardspan.llm.words import SPACES, mix, slices, text_bytes, word_numbers
 from wardspan.sources.stage import Scratch
 
 #: Texts labelled good that the target model is counted on, about, however many there are.
@@ -42,7 +42,7 @@ def _ngrams(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarra
 def _counted(size: int, good):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids = np.asarray(batch.column(0).fill_null(-1))
             chosen = np.flatnonzero(np.isin(ids, good.value) & batch.column(0).is_valid().to_numpy(False))
             for found, starts, ends in _ngrams(batch.column(1), size):
@@ -111,7 +111,7 @@ def resample(
     ratio = spark.sparkContext.broadcast(fit_ratio(texts, good, buckets))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             weight = np.zeros(batch.num_rows)
             for found, starts, ends in _ngrams(batch.column(1), buckets):
                 sums = np.r_[0.0, np.cumsum(ratio.value[found], dtype=np.float64)]

@@ -9,6 +9,8 @@ comparison get the same number with a chance of about 2**-64.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -73,6 +75,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = RUN) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``size`` bytes of text, or one longer text, which bounds what hashing holds."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(lengths, dtype=np.int64) // size
+        starts = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]]) if len(piece) else piece
+        for start, end in zip(starts, [*starts[1:], len(piece)]):
+            yield batch.slice(start, end - start)
+
+
 def word_numbers(column: pa.Array, separators: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The number of every word of all texts, and where each text's words begin."""
     data, offsets = text_bytes(column)
