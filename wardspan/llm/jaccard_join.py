@@ -41,8 +41,9 @@ from wardspan.llm.components import components
 from wardspan.llm.words import shingle_sets
 from wardspan.sources.stage import Scratch, materialise
 
-#: Cells of the hash range as coordinates, and how many travel with the rows of a region.
-CELLS, COARSE = 128, 64
+#: Cells of the hash range as coordinates in the regions; a set of over 512 shingles has finer ones besides,
+#: about one for four shingles and 4096 at most.
+CELLS = 128
 #: A shingle of so many texts of a task is reported, one of so many of all texts is frequent.
 TASK_TEXTS, ALL_TEXTS = 4, 32
 #: Texts hashed at a time.
@@ -134,9 +135,10 @@ def _prefixes(width: int, percent: int, frequent):
                 else:
                     ordered = s
                 heads.append(ordered[: len(s) + (-percent * len(s)) // 100 + 1].view(np.int64))
-                count = np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=CELLS)
+                bits = min(12, max(CELLS.bit_length() - 1, (len(s) // 4).bit_length()))
+                count = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
                 cells.append(np.minimum(count, 255).astype(np.uint8).tobytes())
-                coarse.append(np.minimum(count.reshape(COARSE, -1).sum(1), 255).astype(np.uint8).tobytes())
+                coarse.append(np.minimum(count.reshape(CELLS, -1).sum(1), 255).astype(np.uint8).tobytes())
                 sizes.append(len(s))
             bounds = np.cumsum([0, *map(len, heads)])
             values = np.concatenate(heads) if heads else np.empty(0, np.int64)
@@ -156,7 +158,10 @@ def _prefixes(width: int, percent: int, frequent):
 
 
 def _first_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shingle and id: those of regions of two and more, with the pivot's fields."""
+    """Rows sorted by shingle and id: those of regions of two and more, with the pivot's fields.
+
+    ``more`` is false where the region is known to have no third row.
+    """
     held, told = None, False  # the pivot of the last region, and whether its row went out
     names = ["shingle", "id", "n", "at"]
     for batch in batches:
@@ -172,22 +177,27 @@ def _first_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if held is not None and told:
             out[0] = False
         pivot = np.repeat(first, size)
+        more = size > 2
+        more[-1] = True  # it may go on in the next batch
+        more[0] |= held is not None and told
+        more = np.repeat(more, size)[out]
         told = bool(size[-1] > 1 or (told and held is not None and len(first) == 1))
         held = [r[first[-1]] for r in rows]
         columns = [r[out] for r in rows] + [r[pivot][out] for r in rows[1:]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], names=[*names, "pivot", "pivot_n", "pivot_at"]
+            [pa.array(c, pa.int64()) for c in columns] + [pa.array(more)],
+            names=[*names, "pivot", "pivot_n", "pivot_at", "more"],
         )
 
 
 class _Pivots:
     """The pivots of one region so far, and which of them a point must be compared with."""
 
-    def __init__(self, percent: int, room: int, cells: int):
+    def __init__(self, percent: int, room: int):
         self.percent, self.room, self.count = percent, room, 0
         self.whole = np.zeros((4, 64), np.int64)  # id, size, place of the shingle, class
         self.far = np.zeros(64)
-        self.cells = np.zeros((64, cells), np.int16)
+        self.cells = np.zeros((64, CELLS), np.int16)
 
     def add(self, row: tuple, far: float, cells: np.ndarray) -> bool:
         if self.count == self.room:
@@ -230,10 +240,10 @@ def _more_pivots(pivots: int, percent: int):
             shingles, late = batch.column(0).to_pylist(), batch.column(7).to_pylist()
             rows = np.stack([np.asarray(batch.column(i)) for i in (1, 2, 3, 4)], axis=1)
             far = batch.column(5).to_numpy(zero_copy_only=False).astype(float)
-            cells = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(len(rows), -1).astype(np.int16)
+            cells = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
             for k, shingle in enumerate(shingles):
                 if shingle != region:
-                    region, chosen, full = shingle, _Pivots(percent, pivots, cells.shape[1]), False
+                    region, chosen, full = shingle, _Pivots(percent, pivots), False
                 if chosen.count:
                     found = chosen.near(rows[k], far[k], cells[k])
                     a += found.tolist()
@@ -261,15 +271,14 @@ def _near(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
-                for i in (3, 5)
-            )
-            n, m = np.asarray(batch.column(2)), np.asarray(batch.column(4))
-            apart = np.abs(left - right).sum(1, dtype=np.int64)
-            keep = apart <= n + m - 2 * _overlap(n, m, percent)
+            keep = []
+            for n, x, m, y in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+                x, y = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+                shared = min(len(x), len(y))  # the finer one is added up
+                apart = np.abs(x.reshape(shared, -1).sum(1) - y.reshape(shared, -1).sum(1)).sum()
+                keep.append(bool(apart <= n + m - 2 * _overlap(n, m, percent)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"]
+                [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"]
             )
 
     return run
@@ -322,12 +331,16 @@ def _compared(percent: int):
     return run
 
 
-def _verify(pairs, cells, texts, width, percent, scratch) -> DataFrame:
-    """(a, b, far, linked) of the pairs (a, b) that the coordinates leave."""
+def _windowed(pairs: DataFrame, cells: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """The distinct pairs (a, b) that the coordinates leave."""
     left = cells.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
     right = cells.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
     pairs = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "na", "ca", "nb", "cb")
-    pairs = scratch.write(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
+    return scratch.write(pairs.mapInArrow(_near(percent), "a long, b long").distinct(), "near")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b, far, linked) of the distinct pairs (a, b), from their whole sets."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = texts.sparkSession.sparkContext.broadcast(_marks(ids))
     placed = texts.select("id", "text", _place(F.col("id")).alias("place"))
@@ -391,7 +404,7 @@ def ngram_jaccard_join(
     rows = heads.select("id", "n", F.posexplode("head").alias("at", "shingle"))
     rows = rows.select("shingle", "id", "n", F.col("at").cast("long").alias("at"))
     regions = rows.repartition("shingle").sortWithinPartitions("shingle", "id").mapInArrow(
-        _first_pivots, "shingle long, id long, n long, at long, pivot long, pivot_n long, pivot_at long"
+        _first_pivots, "shingle long, id long, n long, at long, pivot long, pivot_n long, pivot_at long, more boolean"
     )
     regions = scratch.write(regions.where("id <> pivot"), "regions")
     pairs = regions.where(
@@ -399,10 +412,11 @@ def ngram_jaccard_join(
         f"least(n - at, pivot_n - pivot_at) >= ({percent} * (n + pivot_n) + {99 + percent}) div {100 + percent}"
     )
     cells = heads.select("id", "n", "cells")
-    tried = _verify(pairs.select(F.col("pivot").alias("a"), F.col("id").alias("b")), cells, named, width, percent, scratch)
+    pairs = _windowed(pairs.select(F.col("pivot").alias("a"), F.col("id").alias("b")), cells, percent, scratch)
+    tried = _verify(pairs, named, width, percent, scratch)
     links = tried.where("linked").select("a", "b")
     far = tried.groupBy(F.col("a").alias("pivot"), F.col("b").alias("id")).agg(F.min("far").alias("far"))
-    left = regions.join(far, ["pivot", "id"], "left").select("shingle", "id", "n", "at", "far")
+    left = regions.where("more").join(far, ["pivot", "id"], "left").select("shingle", "id", "n", "at", "far")
     pivots = PIVOTS
     while not left.isEmpty():
         classes = components(links, scratch).withColumnRenamed("node", "id")
@@ -417,7 +431,8 @@ def ngram_jaccard_join(
             "a long, b long, shingle long, id long, n long, at long, far double",
         )
         step = scratch.write(step, "round")
-        found = _verify(step.where("a is not null").select("a", "b"), cells, named, width, percent, scratch)
+        untried = _windowed(step.where("a is not null").select("a", "b"), cells, percent, scratch)
+        found = _verify(untried, named, width, percent, scratch)
         links = links.unionByName(found.where("linked").select("a", "b"))
         left = step.where("shingle is not null").select("shingle", "id", "n", "at", "far")
         pivots *= 8
