@@ -57,3 +57,27 @@ def test_recall_against_all_pairs(spark, noise):
     group = components(got, links)
     assert all(group[r.component_id] == group[k] for k, r in got.items())
     assert sum(group[k] == r.component_id for k, r in got.items()) >= 0.95 * len(rows)
+
+
+def test_recall_in_a_large_near_group(spark):
+    """4,000 jittered and rescaled copies of one vector among others."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(64)
+    near = (base + rng.standard_normal((4000, 64)) * 0.15) * rng.uniform(0.2, 5, (4000, 1))
+    x = np.concatenate([near, rng.standard_normal((1500, 64))]).astype("f4").astype(float)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    got = {r.vec_id: r for r in embedding_near_duplicates(frame(spark, rows)).collect()}
+    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    links = np.array([got[k].n_links for k in range(len(x))])
+    assert (links <= want).all() and links.sum() >= 0.98 * want.sum()
+    assert all(got[k].component_id == 0 for k in range(4000))
+
+
+def test_ids_on_two_vectors_in_a_run(spark):
+    rng = np.random.default_rng(6)
+    near = rng.standard_normal(16) + rng.standard_normal((300, 16)) * 0.05
+    rows = [(k // 2 if k < 20 else k, v.tolist()) for k, v in enumerate(near.astype("f4"))]
+    got = {(r.vec_id, r.n_links) for r in embedding_near_duplicates(frame(spark, rows)).collect()}
+    # A node links with every vector of the 289 others; the own other vector is no link.
+    assert got == {(k, 298) for k in range(10)} | {(k, 299) for k in range(20, 300)}
