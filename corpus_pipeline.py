@@ -26,13 +26,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document with the least id of each class of near copies; of rows with one id, one.
+    """The document with the least id of each class of near copies; of rows equal in id and text, one.
 
-    Rows with a null id are in no class and all stay.
+    Rows that share an id but not their text are documents of their own. Rows
+    with a null id are in no class and all stay.
     """
-    classes = ngram_jaccard_join(docs)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi")
+    named, key = docs.where("doc_id is not null"), "doc_id"
+    if not named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        key = "_row"  # in the order of ids
+        named = named.dropDuplicates(["doc_id", "text"]).repartitionByRange("doc_id", "text")
+        named = named.sortWithinPartitions("doc_id", "text").withColumn(key, F.monotonically_increasing_id())
+        named = materialise(named, "numbered")
+    classes = ngram_jaccard_join(named, id_col=key)
+    kept = classes.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    named = named.join(kept, key, "left_semi")
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -39,3 +39,14 @@ def test_stages_keep_columns_and_odd_rows(spark):
     assert kept == sorted([(1, None, None), (2, "", 0), (3, "a b c d e f", 11), (5, "[EMAIL]", 7), (None, "a b c d e f", 11)], key=str)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), FOLDER).count() == 0, name
+
+
+def test_rows_that_share_an_id_but_not_their_text(spark):
+    words = [f"word{k}" for k in range(400)]
+    first, second, third = (" ".join(words[k : k + 100]) for k in (0, 120, 240))
+    rows = [(1, first), (1, second), (1, second), (2, second), (3, third), (3, first), (None, first), (4, None), (4, None)]
+    got = corpus_pipeline.keep_one_of_each_group(spark, documents(spark, rows), None)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, first), (1, second), (3, third), (None, first), (4, None)], key=str
+    )
+    assert got.columns == documents(spark, rows).columns
