@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from helpers import components
-from wardspan.llm.embedding_dedup import embedding_near_duplicates
+from wardspan.llm.embedding_dedup import embedding_near_duplicates, passes_for
 
 
 def links_of(rows, least=0.95):
@@ -81,3 +81,12 @@ def test_ids_on_two_vectors_in_a_run(spark):
     got = {(r.vec_id, r.n_links) for r in embedding_near_duplicates(frame(spark, rows)).collect()}
     # A node links with every vector of the 289 others; the own other vector is no link.
     assert got == {(k, 298) for k in range(10)} | {(k, 299) for k in range(20, 300)}
+
+
+def test_passes_grow_with_the_points():
+    side = 1 - math.acos(0.95) / math.pi
+    for points in (0, 40, 10**4, 10**6, 3 * 10**7, 10**8, 10**9):
+        passes = passes_for(points, 0.95, 48)
+        meet = side ** max(0.0, math.log2(max(points, 1) / 48))
+        assert passes >= 16 and 1 - (1 - meet) ** passes >= 0.95
+    assert passes_for(10**6, 0.95, 48) == 16 < passes_for(3 * 10**7, 0.95, 48) < passes_for(10**8, 0.95, 48) < 40

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import acos, ceil, log, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from wardspan.sources.stage import Scratch, materialise
 SIDES = 62
 #: Rows of the sorted order compared in one task.
 BLOCK = 2048
+#: Passes at least, and the recall of pairs at the threshold that their number is derived from.
+PASSES, RECALL = 16, 0.95
 #: Least and most places of a run, and most bytes of vectors, in one of its pieces.
 PIECE, PIECE_BYTES = (512, 8192), 1 << 24
 #: Rows of a piece multiplied at a time.
@@ -50,6 +53,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def passes_for(points: int, least: float, window: int) -> int:
+    """Passes by which a pair at cosine ``least`` meets in a window with chance RECALL.
+
+    It meets in a pass if it agrees on the leading sides that leave a window's
+    worth of the points.
+    """
+    agree = 1 - acos(max(-1.0, min(1.0, least))) / pi
+    meet = agree ** max(0.0, log2(max(points, 1) / window))
+    return PASSES if meet >= RECALL else max(PASSES, ceil(log(1 - RECALL) / log(1 - meet)))
+
+
 def _keys(passes: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -198,7 +212,7 @@ def embedding_near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     least: float = 0.95,
-    passes: int = 16,
+    passes: int | None = None,
     window: int = 48,
     seed: int = 17,
 ) -> DataFrame:
@@ -207,7 +221,8 @@ def embedding_near_duplicates(
     Two vectors link when their cosine in double precision is at least
     ``least`` and some pass has them within ``window`` places or in one run, a
     stretch of the order whose links reach more than half a window. ``n_links``
-    counts the other vectors linked directly, equal ones included;
+    counts the other vectors linked directly, equal ones included; ``passes``
+    follows from the number of distinct vectors if not given;
     component_id is the least id reachable by links; ``kept`` marks that id.
     Null, empty and zero vectors, and those with null or non-finite parts, link
     with nothing, nor do vectors of different lengths with each other. A row with a
@@ -221,6 +236,8 @@ def embedding_near_duplicates(
     usable = read.where("print is not null and id is not null")
     classes = usable.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("size"))
     classes = scratch.write(classes, "classes")
+    if passes is None:
+        passes = passes_for(classes.count(), least, window)
     points = usable.dropDuplicates(["print"]).join(classes, "print").select(F.col("rep").alias("id"), "raw")
 
     keyed = points.mapInArrow(_keys(passes, seed), "id long, raw binary, keys array<long>")
