@@ -49,6 +49,15 @@ def test_learns_words_and_stems_and_what_negation_means(spark):
     assert Scorer(weights).score("vexuzz") > 0.5 > Scorer(weights).score("common vex")
 
 
+def test_learns_until_no_term_passes(spark):
+    """140 insults without a stem of their own, and two words of one stem that clean texts hold too."""
+    names = [f"q{a}{b}x" for a in "abcdefghijklmn" for b in "opqrstuvwz"]
+    rows = [(f"text {k} {w}", 1) for w in [*names, "abcdef", "abcdxyz"] for k in range(8)]
+    rows += [(f"text {k % 8} abcdaa{k % 3} other{k}", 0) for k in range(2000)]
+    terms = fit_weights(spark.createDataFrame(rows, "text string, toxic int")).terms
+    assert {*names, "abcdef", "abcdxyz"} <= set(terms) and "abcd*" not in terms
+
+
 def test_held_out_accuracy(spark):
     got = {r.doc_id: r for r in op3_toxicity(spark, FOLDER).collect()}
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("toxic is not null").collect()

@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count
 from math import ceil, log
 
 import pandas as pd
@@ -28,8 +29,8 @@ from wardspan.sources.stage import Scratch
 
 #: Labelled rows that weights are learned from, about, however many there are.
 LABELLED_ROWS = 20_000
-#: Words and stems learned in a turn, and turns, at most.
-A_TURN, TURNS = 16, 8
+#: Words and stems learned in a turn, at most.
+A_TURN = 16
 #: Letters of a stem.
 STEM = 4
 #: Reach of a target or a negation, in words.
@@ -212,7 +213,8 @@ def fit_weights(labelled: DataFrame) -> Weights:
     at least four in five texts that hold one are toxic and so many toxic texts
     would not come together by chance for any of the words counted. Later turns
     count only the toxic texts that hold none taken so far, so the other words
-    of copied texts don't count as insults. Rows with a null are left out;
+    of copied texts don't count as insults; turns end when no term passes. Of
+    terms that share a stem one is taken in a turn. Rows with a null are left out;
     without labelled rows the known words stand.
     """
     scratch = Scratch(labelled.sparkSession)
@@ -220,7 +222,7 @@ def fit_weights(labelled: DataFrame) -> Weights:
     sample = scratch.write(sample.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic")), "labelled")
     learned: dict[str, float] = {}
     terms = dict.fromkeys(INSULTS, 0.8)
-    for turn in range(TURNS):
+    for turn in count():
         counts = sample.mapInArrow(_terms(Weights(learned)), "term string, toxic long, clean long")
         counts = scratch.write(
             counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "counts"
@@ -235,15 +237,14 @@ def fit_weights(labelled: DataFrame) -> Weights:
         least = ceil(log(0.5 / max(1, counts.where("toxic + clean >= 3").count())) / log(chance))
         best = counts.where((F.col("toxic") >= max(4, least)) & (F.col("toxic") >= 4 * F.col("clean")))
         best = best.where(~F.col("term").isin("", *TARGETS, *NEGATIONS, *REPORTS))
-        new = 0
+        new: dict[str, float] = {}
         worth = F.desc(F.col("toxic") - 4 * F.col("clean"))
         for term, a, b in best.orderBy(worth, F.col("term").endswith("*"), "term").limit(20 * A_TURN).collect():
-            near = {term, f"{term[:STEM]}*", *(w for w in learned if w[:STEM] == term[:STEM])}
-            if new < A_TURN and near.isdisjoint(learned):
-                learned[term] = (a + 0.5) / (a + b + 1)
-                new += 1
+            if len(new) < A_TURN and all(w[:STEM] != term[:STEM] for w in new):
+                new[term] = (a + 0.5) / (a + b + 1)
         if not new:
             break
+        learned |= new
     terms |= learned
     weights = Weights(terms)
     seen = Counter()
