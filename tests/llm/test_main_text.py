@@ -55,3 +55,9 @@ def test_odd_rows(spark):
     got = extract_main_text(frame)
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "u", ""), (2, None, ""), (2, None, ""), (None, "u", WANT)], key=str)
     assert extract_main_text(frame.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "template"])
+def test_page_goes_on_after_an_unclosed_tag(tag):
+    inside = f'<div class="content"><{tag} width="9"><{tag}>'
+    assert main_text(PAGE % (inside, "</div>"), {}) == WANT

@@ -74,6 +74,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
     """
     stack: list[tuple[str, bool]] = []
     boiler = marks = links = 0
+    unclosed: set[str] = set()
     block, at, size = "", 0, len(page)
     while at < size:
         match = _TOKEN.search(page, at)
@@ -87,11 +88,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
             continue
         tag, closing = match[1].lower(), page[match.start() + 1] == "/"
         if not closing and tag in _RAW and not match[2].endswith("/"):
-            close = _RAW[tag].search(page, at)
+            close = None if tag in unclosed else _RAW[tag].search(page, at)
             yield "tag", tag, "", marks > 0
             if close:
                 at = close.end()
                 continue
+            unclosed.add(tag)
+            if tag in ("svg", "math", "template"):  # the page goes on without the tag
+                continue
             if tag != "noscript":
                 return
         if tag == "a":
