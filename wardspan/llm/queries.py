@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ from wardspan.llm.packing import pack
 from wardspan.llm.pii import KINDS, find_pii
 from wardspan.llm.quality import resample
 from wardspan.llm.sharding import histogram_shards
+from wardspan.llm.token_files import token_index, write_token_files
 from wardspan.llm.toxicity import fit_weights, labelled_texts, score_toxicity
 from wardspan.sources.readers import read_parquet
+from wardspan.sources.stage import shared_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -114,6 +118,13 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What the files hold of each document, read back from them; nulls and repeats as the writer states."""
+    path = f"{shared_folder(spark)}/wardspan/token-files-{uuid.uuid4().hex}"
+    write_token_files(_table(spark, folder, "documents"), path)
+    return token_index(spark, path)
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -125,4 +136,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_main_text": op10_main_text,
+    "op12_token_files": op12_token_files,
 }
