@@ -3,11 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from tokenizers import Tokenizer
 
 from helpers import documents
+from wardspan.llm import token_files
 from wardspan.llm.queries import op12_token_files
 from wardspan.llm.token_files import _Whole, _Words, read_token_files, token_index, write_token_files
 
@@ -40,10 +42,23 @@ def in_order(rows):
 def test_words_give_the_ids_of_the_whole_text(tokenizer):
     words, whole = _Words("word_bpe_49k.json"), _Whole("word_bpe_49k.json")
     rng = random.Random(1)
-    letters = "ab'sStTé́̀ \n\t\r.,;:!?-<|>0١ΣςİÅÅ \u0085​\x0b漢한가"
+    letters = "ab'sStTé́̀ \n\t\r.,;:!?-<|>0١ΣςİÅÅ \u0085​\x0b漢한가\x01$}"
     made = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(4000)]
-    for text in [t or "" for t in TEXTS] + made:
-        assert words.ids(text, 2).tolist() == whole.ids(text, 2).tolist(), repr(text)
+    made += ["".join(rng.choices(["<|endoftext|>", "<|", "|>", ">", ".", "'", "s", "$", " ", "x"], k=9)) for _ in range(2000)]
+    texts = TEXTS + made
+    for some in ([], texts[:1], *(texts[i : i + 97] for i in range(0, len(texts), 97))):
+        ids, sizes = words.encode(pa.array(some, pa.string()), 2)
+        want, lengths = whole.encode(pa.array(some, pa.string()), 2)
+        assert ids.tolist() == want.tolist() and sizes.tolist() == lengths.tolist()
+
+
+def test_words_are_forgotten_beyond_a_bound(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    words, whole = _Words("word_bpe_49k.json"), _Whole("word_bpe_49k.json")
+    for i in range(40):
+        some = [f"Word{i} word{j}. \x01 \x01a\x01" for j in range(30)]
+        assert words.encode(pa.array(some, pa.string()), 2)[0].tolist() == whole.encode(pa.array(some, pa.string()), 2)[0].tolist()
+        assert len(words.words.places) < 200 and len(words.parts.places) < 200
 
 
 def test_files_give_back_the_ids_in_order(spark, tokenizer, tmp_path):

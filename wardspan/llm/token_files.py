@@ -13,22 +13,30 @@ texts and not ids, and the sample that places the ranges reads ids alone.
 
 from __future__ import annotations
 
-import re
+import sys
+import types
 import zlib
-from collections.abc import Iterator, Sequence
-from itertools import chain
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardspan.llm.words import slices
 from wardspan.operators.skew import lookup
 
-#: Ids after which rows are handed on.
-ROOM = 1 << 20
-#: Encoded words a task remembers at most; it starts anew beyond them.
+#: Bytes of text encoded at a time, or one longer text.
+ROOM = 1 << 23
+#: Encoded words after which a worker starts anew.
 REMEMBERED = 1 << 19
+#: A character between words encoded as one text, and how many they are.
+MARK, JOINED = "\x01", 1000
+#: ASCII marks that may close a word: all but the apostrophe, which opens endings, and the bar of special tokens.
+CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~"
 #: Bytes of a stripe, rows of an entry of the row index, false hits of a Bloom filter.
 STRIPE_BYTES, INDEX_ROWS, FALSE_HITS = 16 << 20, 1_000, 0.01
 
@@ -45,31 +53,101 @@ def _encoder(vocabulary: str):
     return Tokenizer.from_file(path)
 
 
-class _Words(dict):
-    """Ids by word, each word encoded when first seen.
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... of each run of ``size``, run after run."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+class _Store:
+    """Runs of ids by key, laid out one after the other."""
+
+    def __init__(self):
+        self.places: dict[str, int] = defaultdict(count().__next__)  # a new key gets the next place
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.values, self.filled = np.zeros(1 << 16, np.int32), 0
+
+    def find(self, keys: list[str], learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The place of every key. ``learn`` gives new ones their ids: sizes, and all ids in a row."""
+        found = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
+        fresh = np.flatnonzero(found >= len(self.first))
+        if len(fresh):
+            fresh = fresh[np.unique(found[fresh], return_index=True)[1]]
+            size, ids = learn([keys[i] for i in fresh])
+            first = self.filled + np.cumsum(size) - size
+            self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
+            if self.filled + len(ids) > len(self.values):
+                self.values = np.concatenate([self.values, np.zeros(max(len(ids), len(self.values)), np.int32)])
+            self.values[self.filled : self.filled + len(ids)] = ids
+            self.filled += len(ids)
+        return found
+
+    def ids(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of the runs at ``found``."""
+        size = self.size[found]
+        return size, self.values[_spread(self.first[found], size)]
+
+
+class _Words:
+    """Ids by word, each distinct word encoded once.
 
-    For a vocabulary that drops white space and lets no token span it, a text's
-    ids are those of its words one after the other. Words are cut at spaces and
-    line feeds, and closing marks after an ASCII letter or digit are words of
-    their own. No special token holds a space, and no normalisation reaches
-    across one.
+    For a vocabulary that lower-cases, drops white space and lets no token span
+    it, a text's ids are those of its words one after the other: words are cut
+    at spaces and line feeds, and no special token and no normalisation reaches
+    across a cut. Marks after an ASCII letter or digit that close a word are a
+    word of their own; no special token holds both. A-Z are lowered early where
+    nothing but ASCII and no special token is concerned. Many words are encoded
+    as one text, a control character between them.
     """
 
     def __init__(self, vocabulary: str):
         self.encoder = _encoder(vocabulary)
-        self.closed = re.compile(r"(?<=[0-9A-Za-z])([.,;:!?]+)(?=[ \n]|\Z)")
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self.encoder.encode(word, add_special_tokens=False).ids
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-    def ids(self, text: str, end: int) -> np.ndarray:
-        words = self.closed.sub(r" \1", text).replace("\n", " ").split(" ")
-        return np.array([*chain.from_iterable(map(self.__getitem__, words)), end], "<i4")
+        mark = self.encoder.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.words, self.parts = _Store(), _Store()
+
+    def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.array([self.mark is not None and MARK not in part for part in parts], bool)
+        order = np.argsort(~plain, kind="stable")
+        alike, odd = [parts[i] for i in order[: plain.sum()]], [parts[i] for i in order[plain.sum() :]]
+        joined = [f" {MARK} ".join(alike[i : i + JOINED]) for i in range(0, len(alike), JOINED)]
+        ids = [[*e.ids, self.mark] for e in self.encoder.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.array(list(chain.from_iterable(ids)), np.int32)
+        size = np.diff(np.flatnonzero(ids == self.mark), prepend=-1) - 1
+        ids = ids[ids != self.mark]
+        if odd:
+            rest = [self.encoder.encode(part, add_special_tokens=False).ids for part in odd]
+            size = np.concatenate([size, [len(r) for r in rest]])
+            ids = np.concatenate([ids, np.array(list(chain.from_iterable(rest)), np.int32)])
+            back = np.argsort(order)
+            first = (np.cumsum(size) - size)[back]
+            size = size[back]
+            ids = ids[_spread(first, size)]
+        return size, ids
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = []
+        for word in words:
+            core = word.rstrip(CLOSING)
+            if not core or not (core[-1].isalnum() and core[-1].isascii()):
+                core = word
+            parts.append(core.lower() if core.isascii() and "<|" not in core else core)
+            parts.append(word[len(core) :])
+        size, ids = self.parts.ids(self.parts.find(parts, self._encode))
+        return size[::2] + size[1::2], ids
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with ``end`` behind it, and each text's number of ids."""
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = cut.flatten().dictionary_encode()
+        if len(self.parts.places) > REMEMBERED:
+            self.parts = _Store()
+        if len(self.words.places) > REMEMBERED:
+            self.words = _Store()
+        found = self.words.find(words.dictionary.to_pylist(), self._learn)
+        size, ids = self.words.ids(found[words.indices.to_numpy()])
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(size)])[ends]
+        return np.insert(ids, total, end), np.diff(total, prepend=0) + 1
 
 
 class _Whole:
@@ -78,33 +156,31 @@ class _Whole:
     def __init__(self, vocabulary: str):
         self.encoder = _encoder(vocabulary)
 
-    def ids(self, text: str, end: int) -> np.ndarray:
-        return np.array([*self.encoder.encode(text, add_special_tokens=False).ids, end], "<i4")
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        ids = [[*self.encoder.encode(text or "", add_special_tokens=False).ids, end] for text in texts.to_pylist()]
+        return np.array(list(chain.from_iterable(ids)), np.int32), np.array([len(i) for i in ids], np.int64)
+
+
+def _kept(vocabulary: str) -> _Words:
+    """The words a Python worker has encoded so far, kept for its next tasks."""
+    kept = sys.modules.setdefault("wardspan_encoded_words", types.ModuleType("wardspan_encoded_words"))
+    if vocabulary not in vars(kept):
+        setattr(kept, vocabulary, _Words(vocabulary))
+    return getattr(kept, vocabulary)
 
 
 def _writer(vocabulary: str, end: int, by_word: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = (_Words if by_word else _Whole)(vocabulary)
+        encoder = _kept(vocabulary) if by_word else _Whole(vocabulary)
         before = 0
-        for batch in batches:
-            keys, part, held, room = [], [], [], 0
-            columns = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for i, (text, place) in enumerate(zip(*columns[1:])):
-                held.append(encoder.ids(text or "", end))
-                keys.append(i)
-                part.append(place)
-                room += len(held[-1])
-                if room > ROOM or i + 1 == len(batch):
-                    sizes = np.array([len(x) for x in held], np.int64)
-                    ends = np.cumsum(sizes)
-                    ids = pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(np.concatenate(held), pa.int32())
-                    )
-                    columns_ = [columns[0].take(pa.array(keys)), pa.array(part, pa.int32()), before + ends - sizes, sizes]
-                    columns_ = [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns_]
-                    yield pa.RecordBatch.from_arrays([*columns_, ids], names=_COLUMNS)
-                    before += int(ends[-1])
-                    keys, part, held, room = [], [], [], 0
+        for batch in slices(batches, 1, ROOM):
+            values, sizes = encoder.encode(batch.column(1), end)
+            ends = np.cumsum(sizes)
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            columns = [pa.array(before + ends - sizes, pa.int64()), pa.array(sizes, pa.int64())]
+            ids = pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns, ids], names=_COLUMNS)
+            before += int(ends[-1])
 
     return run
 
