@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardspan.llm.collocations import mine_collocations
 from wardspan.llm.decontaminate import decontaminate
 from wardspan.llm.embedding_dedup import embedding_near_duplicates
 from wardspan.llm.jaccard_join import ngram_jaccard_join
@@ -125,6 +126,11 @@ def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(spark, path)
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of all documents, by language; nulls and empty texts as the operator states."""
+    return mine_collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -137,4 +143,5 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_main_text": op10_main_text,
     "op12_token_files": op12_token_files,
+    "op13_collocations": op13_collocations,
 }

@@ -120,8 +120,50 @@ from words left join counted using (doc_id) left join named using (doc_id)
 """
 )
 
+OP13 = r"""
+with
+pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w)) as n from words group by lang),
+lengths as (select unnest(range(1, 6)) as k),
+grams as (
+    select lang, k, unnest(list_transform(range(len(w) - k + 1), lambda i : w[i + 1 : i + k])) as g
+    from words, lengths where len(w) >= k
+),
+counted as (select lang, k, g, count(*) as f from grams group by lang, k, g having count(*) >= 100),
+longer as (
+    select lang, g[1 : k - 1] as g, f from counted where k > 2
+    union all select lang, g[2 : k] as g, f from counted where k > 2
+),
+covered as (select lang, g, max(f) as f from longer group by lang, g),
+kept as (
+    select c.* from counted c left join covered o on c.lang = o.lang and c.g = o.g
+    where c.k > 1 and (o.f is null or 100 * o.f < 100 * c.f)
+),
+cuts as (
+    select c.lang, c.g, c.f as a, l.f as l, r.f as r, cast(n as bigint) as n, j.k as cut,
+        (1000::hugeint * c.f::hugeint * n::hugeint) // (l.f::hugeint * r.f::hugeint) as score
+    from kept c join lengths j on j.k < c.k
+        join counted l on l.lang = c.lang and l.g = c.g[1 : j.k]
+        join counted r on r.lang = c.lang and r.g = c.g[j.k + 1 : c.k]
+        join totals t on t.lang = c.lang
+),
+lowest as (select *, row_number() over (partition by lang, g order by score, cut) as place from cuts),
+ranked as (
+    select lang, array_to_string(g, ' ') as phrase, a, l, r, n, cast(score as bigint) as score,
+        row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) as rank
+    from lowest where place = 1
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
 SQL = {
     "op1_jaccard_join": OP1,
     "op4_licences": OP4,
     "op5_decontaminate": OP5,
+    "op13_collocations": OP13,
 }

@@ -55,7 +55,9 @@ def _encoder(vocabulary: str):
 
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """first[0], first[0] + 1, ... of each run of ``size``, run after run."""
-    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    shift, total = first - (np.cumsum(size) - size), int(size.sum())
+    kind = np.int32 if total + int(first.max(initial=0)) < 1 << 31 else np.int64
+    return np.repeat(shift.astype(kind), size) + np.arange(total, dtype=kind)
 
 
 class _Store:
