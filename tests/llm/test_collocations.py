@@ -7,7 +7,7 @@ import pytest
 
 from helpers import LOWER
 from wardspan.llm import collocations
-from wardspan.llm.collocations import LONGEST, _keys, _table, frequent_prefixes, mine_collocations
+from wardspan.llm.collocations import LONGEST, _bytes, _table, frequent_prefixes, mine_collocations
 
 
 def brute(rows, least=100, best=2000, contained=100):
@@ -105,13 +105,32 @@ def test_words_of_one_number_are_told_apart(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("width", [4, 5, 8])
-def test_keys_give_back_their_numbers(width):
+def test_bytes_give_back_their_numbers(width):
     rng = np.random.default_rng(width)
     rows = rng.integers(1, 1 << 8 * width - 1, (200, LONGEST)).astype(np.uint64)
     rows[np.arange(LONGEST) >= rng.integers(2, LONGEST + 1, (200, 1))] = 0
-    keys = _keys(rows, width)
-    assert (_table(keys, width) == rows).all()
-    assert sorted(keys.to_pylist()) == [keys[int(i)].as_py() for i in np.lexsort(rows.T[::-1])]
+    raw, size = _bytes(rows, width)
+    keys = [row[:n].tobytes() for row, n in zip(raw, size)]
+    assert (_table(b"".join(keys), size, width) == rows).all()
+    assert sorted(keys) == [keys[int(i)] for i in np.lexsort(rows.T[::-1])]
+
+
+def test_ranges_share_the_suffixes_of_a_frequent_pair(spark, monkeypatch):
+    """Half of all suffixes begin with one pair: it is counted in several ranges, and whole."""
+    spread, real = [], collocations._splitters
+
+    def seen(*args):
+        spread.append(real(*args))
+        return spread[-1]
+
+    monkeypatch.setattr(collocations, "RANGE_ROWS", 300)
+    monkeypatch.setattr(collocations, "_splitters", seen)
+    rng = random.Random(6)
+    rows = [("en", "hot pair " + " ".join(rng.choices("abcdef", k=4)) + ". ") for _ in range(1500)] + [("zz", "hot pair " * 30)]
+    assert mined(table(spark, rows).repartition(3), least=30) == brute(rows, 30)
+    first, bounds = spread[0]["en"]
+    leading = [key[:8] for key in bounds]
+    assert max(leading.count(key) for key in leading) >= 2
 
 
 def test_quicksort_counts_prefixes():

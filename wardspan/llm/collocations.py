@@ -2,9 +2,10 @@
 
 Words are counted first. Then every place of a text is a suffix of up to five
 words, cut where no frequent phrase can go on. Suffixes are routed over the
-whole table by their leading words: as ranges of the order of all suffixes,
-so that a frequent word or pair is spread over as many tasks as it fills. A
-task sorts pointers to its suffixes by three-way quicksort on one word after
+whole table by their leading words: into ranges of the order of all suffixes,
+so that a frequent word or pair is spread over as many tasks as it fills, equal
+ones of a run of texts counted before and those of one range packed. A task
+sorts pointers to its suffixes by three-way quicksort on one word after
 the other: the size of an equal part is the count of its phrase, and a part
 below the least count is abandoned unsorted. Only the phrases at the two ends
 of a range can go on in the next one; their partial counts are added up.
@@ -31,10 +32,12 @@ from wardspan.sources.stage import Scratch, materialise
 
 #: Words of the longest phrase.
 LONGEST = 5
-#: Bytes of text handled at a time, and suffixes of a range at most, were all places suffixes.
+#: Bytes of text handled at a time, and suffixes of a range, were all places suffixes.
 ROOM, RANGE_ROWS = 1 << 23, 4_000_000
 #: Powers of two of buckets: of the word filter, and least and most of the pair filter.
 WORD_BITS, PAIR_BITS = 24, (20, 29)
+#: Suffixes drawn for a range, and one of how many is drawn from a text.
+DRAWN, THINNED = 32, 64
 #: Buckets of the pair filter counted together.
 CHUNK = 1 << 16
 
@@ -187,53 +190,114 @@ def _pair_filter(rows: DataFrame, places: _Places, bits: int, least: int) -> np.
     return pairs
 
 
-def _suffixes(places: _Places, bits: int, filters):
-    """Rows (lang, key, n): a suffix's numbers one after the other, equal ones of a run of texts once."""
+def _suffixes(batch: pa.RecordBatch, places: _Places, bits: int, filters) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Per language, the sorted distinct suffixes of a run of texts as rows of numbers, and how often each occurs."""
+    places.words, pairs = filters.value
+    for language, at, distinct in _by_language(batch):
+        number, own = places.numbers(language, at, distinct)
+        start, slot = places.pair_slots(number, own, bits)
+        start = start[_marked(pairs, slot)]
+        goes_on = np.zeros(len(number) + LONGEST, bool)
+        goes_on[start] = True
+        number = np.concatenate([number, np.zeros(LONGEST, np.uint64)])
+        columns, on = [number[start], number[start + 1]], np.ones(len(start), bool)
+        for k in range(2, LONGEST):
+            on = on & goes_on[start + k - 1]
+            columns.append(np.where(on, number[start + k], np.uint64(0)))
+        table = np.stack(columns, 1)
+        table = table[np.lexsort(columns[::-1])]
+        fresh = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(1)])[: len(table)])
+        if len(fresh):
+            yield language, table[fresh], np.diff(fresh, append=len(table))
+
+
+def _bytes(table: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of numbers as bytes, in whose order phrases begin alike, and the bytes of each up to its first 0."""
+    raw = table.astype(">u8").view(np.uint8).reshape(len(table), LONGEST, 8)[:, :, 8 - width :]
+    return raw.reshape(len(table), LONGEST * width), (table != 0).sum(1) * width
+
+
+def _table(data: bytes, size: np.ndarray, width: int) -> np.ndarray:
+    """The rows of numbers whose bytes, without the zeros behind, follow each other in ``data``."""
+    raw = np.zeros((len(size), LONGEST * width), np.uint8)
+    raw[np.arange(LONGEST * width) < size[:, None]] = np.frombuffer(data, np.uint8)
+    wide = np.zeros((len(size), LONGEST, 8), np.uint8)
+    wide[:, :, 8 - width :] = raw.reshape(len(size), LONGEST, width)
+    return wide.view(">u8").astype(np.uint64).reshape(len(size), LONGEST)
+
+
+def _drawn(places: _Places, bits: int, filters, every: int):
+    """Rows (lang, key): every so many'th suffix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places.words, pairs = filters.value
         for batch in slices(batches, 0, ROOM):
-            for language, at, distinct in _by_language(batch):
-                number, own = places.numbers(language, at, distinct)
-                start, slot = places.pair_slots(number, own, bits)
-                start = start[_marked(pairs, slot)]
-                goes_on = np.zeros(len(number) + LONGEST, bool)
-                goes_on[start] = True
-                number = np.concatenate([number, np.zeros(LONGEST, np.uint64)])
-                columns, on = [number[start], number[start + 1]], np.ones(len(start), bool)
-                for k in range(2, LONGEST):
-                    on = on & goes_on[start + k - 1]
-                    columns.append(np.where(on, number[start + k], np.uint64(0)))
-                table = np.stack(columns, 1)
-                table = table[np.lexsort(columns[::-1])]
-                fresh = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(1)])[: len(table)])
-                n = np.diff(fresh, append=len(table))
-                keys = _keys(table[fresh], places.width)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([language] * len(keys), pa.string()), keys, pa.array(n, pa.int64())], names=["lang", "key", "n"]
-                )
+            for language, table, _ in _suffixes(batch, places, bits, filters):
+                raw, size = _bytes(table[len(table) % every // 2 :: every], places.width)
+                keys = pa.array([row[:n].tobytes() for row, n in zip(raw, size)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(keys), pa.string()), keys], names=["lang", "key"])
+
+    return run
+
+
+def _every(n: int):
+    """Every n'th row of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            yield batch.take(pa.array(np.arange(-(seen + 1) % n, len(batch), n)))
+            seen += len(batch)
 
     return run
 
 
-def _keys(table: np.ndarray, width: int) -> pa.Array:
-    """Rows of numbers up to the first 0, as bytes in whose order phrases begin alike."""
-    count = len(table)
-    raw = table.astype(">u8").view(np.uint8).reshape(count, LONGEST, 8)[:, :, 8 - width :].reshape(count, LONGEST * width)
-    size = (table != 0).sum(1) * width
-    data = raw[np.arange(LONGEST * width) < size[:, None]]
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+def _splitters(rows: DataFrame, places: _Places, bits: int, filters, ranges: int, total: int) -> dict[str, tuple]:
+    """Per language, the range of its first suffix and the bounds of its further ranges.
+
+    Taken from suffixes drawn from some of the texts: they decide which task
+    counts a suffix, not what is counted.
+    """
+    share = min(1.0, DRAWN * THINNED * ranges / max(total, 1))
+    every = THINNED if share < 1 else max(1, total // (DRAWN * ranges))
+    some = rows if share == 1 else rows.sample(share, 1)
+    drawn = some.mapInArrow(_drawn(places, bits, filters, every), "lang string, key binary")
+    drawn = drawn.repartitionByRange("lang", "key").sortWithinPartitions("lang", "key")
+    bounds = {(r["lang"], bytes(r["key"])) for r in drawn.mapInArrow(_every(DRAWN), drawn.schema).collect()}  # one a range
+    found: dict[str, tuple] = {}
+    for number, (language, key) in enumerate(sorted(bounds, key=lambda b: (b[0].encode(), b[1]))):
+        found.setdefault(language, (number, []))[1].append(key)
+    return found
+
+
+def _routed(places: _Places, bits: int, filters, splits):
+    """Rows (route, lang, keys, sizes, counts): the suffixes of a run of texts that lie in one range."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = splits.value
+        languages = sorted(own, key=str.encode)
+        for batch in slices(batches, 0, ROOM):
+            rows = []
+            for language, table, n in _suffixes(batch, places, bits, filters):
+                raw, size = _bytes(table, places.width)
+                if language in own:
+                    first, bounds = own[language]
+                    keys = np.ascontiguousarray(raw).view(f"S{raw.shape[1]}")[:, 0]
+                    route = first + np.searchsorted(np.array(bounds, keys.dtype), keys, "right")
+                else:
+                    later = [x for x in languages if x.encode() > language.encode()]
+                    last = own[languages[-1]] if languages else (0, [])
+                    route = np.full(len(table), own[later[0]][0] if later else last[0] + len(last[1]))
+                inside = np.arange(raw.shape[1]) < size[:, None]
+                starts = np.flatnonzero(np.diff(route, prepend=-1))
+                for a, b in zip(starts, [*starts[1:], len(route)]):
+                    packed = raw[a:b][inside[a:b]].tobytes(), size[a:b].astype("u1").tobytes(), n[a:b].astype("<u4").tobytes()
+                    rows.append((int(route[a]), language, *packed))
+            if rows:
+                kinds = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(columns, names=["route", "lang", "keys", "sizes", "counts"])
 
-def _table(keys: pa.Array, width: int) -> np.ndarray:
-    """The rows of numbers of ``_keys``."""
-    size = pc.binary_length(keys).to_numpy(zero_copy_only=False)
-    raw = np.zeros((len(keys), LONGEST * width), np.uint8)
-    raw[np.arange(LONGEST * width) < size[:, None]] = np.frombuffer(b"".join(keys.to_pylist()), np.uint8)
-    wide = np.zeros((len(keys), LONGEST, 8), np.uint8)
-    wide[:, :, 8 - width :] = raw.reshape(len(keys), LONGEST, width)
-    return wide.view(">u8").astype(np.uint64).reshape(len(keys), LONGEST)
+    return run
 
 
 def _extreme(table: np.ndarray, pick) -> int:
@@ -276,21 +340,30 @@ def frequent_prefixes(table: np.ndarray, n: np.ndarray, least: int) -> Iterator[
             parts.append((equal, depth + 1, at_end))
 
 
-def _count_range(width: int, least: int):
+def _count_ranges(width: int, least: int):
+    """Partial counts of phrases, range by range, from packed rows sorted by range and language."""
+
+    def counted(language: str, rows: list[tuple]) -> pa.RecordBatch:
+        keys, sizes, counts = (b"".join(part) for part in zip(*rows))
+        table = _table(keys, np.frombuffer(sizes, "u1").astype(np.int64), width)
+        found = list(frequent_prefixes(table, np.frombuffer(counts, "<u4").astype(np.int64), least))
+        raw, _ = _bytes(table[[row for row, _, _ in found]].reshape(-1, LONGEST), width)
+        names = [row[: words * width].tobytes() for row, (_, words, _) in zip(raw, found)]
+        columns = [pa.array([language] * len(found), pa.string()), pa.array(names, pa.binary())]
+        columns.append(pa.array([count for _, _, count in found], pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [batch for batch in batches if len(batch)]
-        if not batches:
-            return
-        held = pa.Table.from_batches(batches)
-        languages = held.column(0).combine_chunks().dictionary_encode()
-        for number, language in enumerate(languages.dictionary.to_pylist()):
-            own = held.filter(pc.equal(languages.indices, number))
-            keys, n = own.column(1).combine_chunks(), own.column(2).to_numpy()
-            found = list(frequent_prefixes(_table(keys, width), n, least))
-            names = [keys[row].as_py()[: words * width] for row, words, _ in found]
-            columns = [pa.array([language] * len(found), pa.string()), pa.array(names, pa.binary())]
-            columns.append(pa.array([count for _, _, count in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "key", "n"])
+        current, rows = None, []
+        for batch in batches:
+            for route, language, *packed in zip(*(column.to_pylist() for column in batch.columns)):
+                if (route, language) != current:
+                    if rows:
+                        yield counted(current[1], rows)
+                    current, rows = (route, language), []
+                rows.append(packed)
+        if rows:
+            yield counted(current[1], rows)
 
     return run
 
@@ -322,14 +395,18 @@ def _count_phrases(rows: DataFrame, least: int, scratch: Scratch) -> tuple[DataF
     places = _Places(width, seed, _word_filter(frequent))
     pairs = _pair_filter(rows, places, bits, least)
     filters = spark.sparkContext.broadcast((places.words, pairs))
-    suffixes = rows.mapInArrow(_suffixes(_Places(width, seed, None), bits, filters), "lang string, key binary, n long")
+    light = _Places(width, seed, None)
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total or 0) // RANGE_ROWS)
-    # The place where a suffix was read parts equal ones, should they fill a range.
-    routed = suffixes.repartitionByRange(ranges, "lang", "key", F.spark_partition_id())
-    partial = routed.mapInArrow(_count_range(width, least), "lang string, key binary, n long")
+    splits = spark.sparkContext.broadcast(_splitters(rows, light, bits, filters, ranges, int(total or 0)))
+    packed = "route int, lang string, keys binary, sizes binary, counts binary"
+    routed = rows.mapInArrow(_routed(light, bits, filters, splits), packed)
+    last = max((first + len(bounds) for first, bounds in splits.value.values()), default=0)
+    routed = routed.repartitionById(last + 1, F.col("route")).sortWithinPartitions("route", "lang")
+    partial = routed.mapInArrow(_count_ranges(width, least), "lang string, key binary, n long")
     phrases = partial.groupBy("lang", "key").agg(F.sum("n").alias("f")).where(often)
     phrases = scratch.write(phrases, "phrases")
     filters.unpersist()
+    splits.unpersist()
     return frequent.drop("slot"), phrases, words.groupBy("lang").agg(F.sum("f").alias("n")), width
 
 
