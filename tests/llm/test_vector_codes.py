@@ -1,0 +1,118 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from wardspan.llm import vector_codes
+from wardspan.llm.queries import op11_vector_codes
+from wardspan.llm.vector_codes import assign, compress_vectors, grow
+
+
+def brute(rows, parts=4, entries=256, rounds=4):
+    """{(id, code, error)} and codebooks, by comparing every part with every entry in Python's integers."""
+    usable = []
+    for key, vector in rows:
+        if vector and all(x is not None and math.isfinite(x) for x in vector):
+            usable.append((key, [math.floor(1024 * float(x)) for x in vector]))
+    width = len(usable[0][1]) // parts
+    heads = sorted(usable, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    books = [[v[p * width : (p + 1) * width] for _, v in heads] for p in range(parts)]
+
+    def nearest(book, part):
+        return min((sum((a - b) ** 2 for a, b in zip(part, entry)), i) for i, entry in enumerate(book))
+
+    for final in [False] * rounds + [True]:
+        found = [[nearest(books[p], v[p * width : (p + 1) * width]) for p in range(parts)] for _, v in usable]
+        if final:
+            break
+        for p in range(parts):
+            for i in range(len(books[p])):
+                own = [v[p * width : (p + 1) * width] for (_, v), f in zip(usable, found) if f[p][1] == i]
+                if own:
+                    books[p][i] = [sum(column) // len(own) for column in zip(*own)]
+    return [(key, [f[1] for f in codes], sum(f[0] for f in codes)) for (key, _), codes in zip(usable, found)], books
+
+
+def table(spark, rows):
+    shape = "vec_id long, embedding array<double>, label int, id long, error long, code string, vector string, _parts int"
+    return spark.createDataFrame([(i, v, 1, 7, 8, "x", "y", 9) for i, v in rows], shape)
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+
+
+def check(spark, rows, **more):
+    got = compress_vectors(table(spark, rows).repartition(3), **more)
+    codes, books = brute(rows, **more)
+    assert ordered((r["vec_id"], r["code"], r["error"]) for r in got.codes.collect()) == ordered(codes)
+    assert [b.tolist() for b in got.codebooks] == books
+
+
+def vectors(n, dims, seed, spread=0.3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 1, (6, dims))
+    return [(int(i), (centres[i % 6] + spread * rng.normal(0, 1, dims)).tolist()) for i in rng.permutation(n)]
+
+
+@pytest.mark.parametrize("spread", [0.01, 0.3, 2.0])
+def test_equals_comparing_everything(spark, monkeypatch, spread):
+    monkeypatch.setattr(vector_codes, "BLOCK", 100)
+    monkeypatch.setattr(vector_codes, "LEAF", 8)
+    check(spark, vectors(350, 8, 1, spread), entries=20, rounds=3)
+
+
+def test_ties_copies_and_unusable_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vector_codes, "LEAF", 4)
+    rng = np.random.default_rng(3)
+    grid = [(int(i), (rng.integers(-1, 2, 4) / 1024).tolist()) for i in range(150)]  # most distances tie
+    copies = [(int(1000 + i), [0.5, -0.25, 0.0, -1e-9]) for i in range(200)]
+    odd = [(3, None), (4, []), (5, [1.0, None, 0.0, 0.0]), (6, [math.nan, 0.0, 0.0, 0.0]), (7, [0.0, math.inf, 0.0, 0.0])]
+    repeated = [(0, [0.1, 0.2, 0.3, 0.4]), (0, [-0.1, 0.2, 0.3, 0.4]), (None, [0.9, 0.9, -0.9, 0.9]), (None, [9.0, 50.0, -70.0, 0.0])]
+    check(spark, grid + copies + odd + repeated, entries=30)
+    check(spark, repeated + odd, entries=30)
+
+
+def test_large_components_are_compared_in_integers(spark):
+    rows = [(i, [30_000.0 + i / 1024, -40_000.0, 1e-3 * i, 20_000.5 + (i % 3)]) for i in range(60)]
+    check(spark, rows, entries=7, parts=2)
+
+
+def test_empty_table_and_lengths(spark):
+    empty = compress_vectors(table(spark, []), keep=["label"])
+    assert empty.codes.columns == ["vec_id", "label", "code", "error"] and empty.codes.count() == 0 and empty.codebooks == []
+    assert compress_vectors(table(spark, [(1, None)])).codes.count() == 0
+    for rows in ([(1, [1.0] * 6)], [(1, [1.0] * 4), (2, [1.0] * 8)], [(1, [1e300] * 4)]):
+        with pytest.raises(Exception, match="components"):
+            compress_vectors(table(spark, rows), entries=1).codes.count()
+
+
+def test_whole_nodes_are_assigned_by_their_sums():
+    """Far groups: no leaf has to be compared point by point."""
+    rng = np.random.default_rng(8)
+    centres = np.array([[0, 0], [9000, 0], [0, 9000], [9000, 9000]])
+    points = np.concatenate([c + rng.integers(-50, 50, (400, 2)) for c in centres])
+    compared, real = [], vector_codes._distances
+    vector_codes._distances = lambda a, b: compared.append(len(a)) or real(a, b)
+    try:
+        tree = grow(points, 16)
+        codes, counts, sums = assign(points[tree.order], tree, centres, grow(centres, 1))
+    finally:
+        vector_codes._distances = real
+    assert not compared and counts.tolist() == [400] * 4
+    assert (sums == np.stack([points[i * 400 : (i + 1) * 400].sum(0) for i in range(4)])).all()
+    assert (codes == tree.order // 400).all()
+
+
+def test_query_over_the_table(spark):
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    codes, books = brute([(r.vec_id, r.embedding) for r in given])
+    label = {r.vec_id: r.label for r in given}
+    sums = {}
+    for key, _, error in codes:
+        sums[label[key]] = sums.get(label[key], 0) + error
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    want = [(key, "".join(f"{c:02x}" for c in code), error, sums[label[key]], digest) for key, code, error in codes]
+    assert sorted(tuple(r) for r in op11_vector_codes(spark, folder).collect()) == sorted(want)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from wardspan.llm.quality import resample
 from wardspan.llm.sharding import histogram_shards
 from wardspan.llm.token_files import token_index, write_token_files
 from wardspan.llm.toxicity import fit_weights, labelled_texts, score_toxicity
+from wardspan.llm.vector_codes import compress_vectors
+from wardspan.operators.skew import lookup
 from wardspan.sources.readers import read_parquet
 from wardspan.sources.stage import shared_folder
 
@@ -119,6 +122,23 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all usable vectors; the errors of equal labels, null ones together, are summed."""
+    found = compress_vectors(_table(spark, folder, "embeddings"), keep=["label"])
+    label = F.coalesce(F.concat(F.lit("="), F.col("label").cast("string")), F.lit("null"))
+    codes = found.codes.withColumn("of_label", label)
+    sums = codes.groupBy("of_label").agg(F.sum("error").alias("label_error"))
+    numbers = ",".join(str(x) for entries in found.codebooks for x in entries.ravel().tolist())
+    two_digits = F.transform("code", lambda entry: F.lower(F.lpad(F.hex(entry), 2, "0")))
+    return lookup(codes, sums, ["of_label"], "inner").select(
+        "vec_id",
+        F.concat_ws("", two_digits).alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """What the files hold of each document, read back from them; nulls and repeats as the writer states."""
     path = f"{shared_folder(spark)}/wardspan/token-files-{uuid.uuid4().hex}"
@@ -142,6 +162,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_main_text": op10_main_text,
+    "op11_vector_codes": op11_vector_codes,
     "op12_token_files": op12_token_files,
     "op13_collocations": op13_collocations,
 }
