@@ -1,0 +1,79 @@
+"""The study's steps as stages of a pipeline."""
+
+import pytest
+from conftest import rows
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.sql import functions as F
+
+from wardspan.operators.forest import classifier
+from wardspan.operators.stages import Balanced, FeatureVector, MedianFill, MedianFillModel, Report
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    label = (F.col("id") % 5 == 0).cast("int")
+    spot = F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000
+    return spark.range(300).select(
+        "id", label.alias("label"), (spot + 2 * label).alias("x.1"),
+        F.when(F.col("id") % 3 > 0, spot - label).alias("y"), F.lit(None).cast("double").alias("none"),
+    )
+
+
+def test_medians_of_one_table_fill_another(spark, table, tmp_path):
+    fit = spark.createDataFrame([(1.0, None), (2.0, None), (9.0, None), (None, None)], "`x.1` double, none double")
+    model = MedianFill(inputCols=["x.1", "none"]).fit(fit)
+    assert model.medians == {"x.1": 2.0, "none": 0.0}
+    model.save(str(tmp_path / "m"))
+    again = MedianFillModel.load(str(tmp_path / "m"))
+    assert again.uid == model.uid and again.medians == model.medians and again.getInputCols() == ["x.1", "none"]
+    other = spark.createDataFrame([(1, None, 5.0), (2, float("nan"), None), (3, 7.0, None)], "id int, `x.1` double, none double")
+    assert rows(again.transform(other)) == [(1, 2.0, 5.0), (2, 2.0, 0.0), (3, 7.0, 0.0)]
+    # No pass over the filled table: its plan holds literals.
+    plan = again.transform(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_vector_in_the_given_order(table):
+    got = FeatureVector(inputCols=["y", "x.1", "none"], outputCol="v").transform(table.where("id in (0, 1)")).orderBy("id").collect()
+    assert [r["v"][0] for r in got] == [0.0, got[1]["y"]] and got[0]["v"][1] == got[0]["x.1"] and got[0]["v"][2] == 0.0
+    assert set(got[0].asDict()) == {*table.columns, "v"}
+
+
+@pytest.mark.parametrize("how, sizes", [("smote", {0.0: 240, 1.0: 240}), ("undersample", {0.0: 60, 1.0: 60}), ("none", {0.0: 240, 1.0: 60})])
+def test_balancing_evens_out_the_fitted_rows(table, how, sizes):
+    ready = FeatureVector(inputCols=["x.1", "y"]).transform(table)
+    got = Balanced(DecisionTreeClassifier(), how=how).balanced(ready)
+    assert {r["label"]: r["count"] for r in got.groupBy("label").count().collect()} == sizes
+    with pytest.raises(ValueError):
+        Balanced(DecisionTreeClassifier(), how="other").balanced(ready)
+
+
+@pytest.mark.parametrize("how", ["smote", "undersample"])
+def test_saved_pipeline_gives_the_same_predictions(spark, table, tmp_path, how):
+    learner = classifier("label", {"numTrees": 3, "maxDepth": 3, "minInstancesPerNode": 1}, 42).setFeaturesCol("features")
+    pipeline = Pipeline(
+        stages=[
+            MedianFill(inputCols=["x.1", "y", "none"]),
+            FeatureVector(inputCols=["x.1", "y", "none"]),
+            Balanced(learner, how=how, seed=7),
+        ]
+    )
+    pipeline.save(str(tmp_path / "pipeline"))
+    again = Pipeline.load(str(tmp_path / "pipeline"))
+    inner = again.getStages()[2]
+    assert inner.getOrDefault("how") == how and inner.getOrDefault("seed") == 7 and inner.estimator.getNumTrees() == 3
+    model = again.fit(table.where("id < 250"))
+    model.save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    test = table.where("id >= 250")
+    scored = [m.transform(test).select("id", "prediction", "probability").orderBy("id").collect() for m in (model, loaded)]
+    # Every row to score comes back once: nothing is balanced but the fitted rows.
+    assert scored[0] == scored[1] and len(scored[0]) == 50
+
+
+def test_report_of_scored_rows(spark, tmp_path):
+    scored = spark.createDataFrame([(1, 1.0), (0, 1.0), (None, 0.0)], "label int, prediction double")
+    Report().save(str(tmp_path / "r"))
+    got = {r["name"]: r for r in Report.load(str(tmp_path / "r")).transform(scored).collect()}
+    assert got["1"]["precision"] == 0.5 and got["0"]["recall"] == 0.5 and got["accuracy"]["support"] == 3

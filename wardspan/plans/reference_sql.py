@@ -366,6 +366,44 @@ select names.feature, case when one_best.feature is null then 0.0 else round(avg
 from names left join one_best on one_best.feature = place, drops group by names.feature, one_best.feature"""
 
 
+_HOLES = ", ".join(
+    f"case when {_uniform(42, 'hadm_id', chr(39) + f + chr(39))} >= 0.3 then v[{i + 1}] end" for i, f in enumerate(_FLAGS)
+)
+_MIDDLE = ", ".join(f"(select coalesce(median(h[{i + 1}]), 0.0) from holed where not is_test)" for i in range(len(_FLAGS)))
+
+
+def _named_report(name: str) -> str:
+    """The CTEs of a report on ``<name>_scored``, all named after it."""
+    report = _REPORT.removeprefix(f"{_SCORED},").replace("scored", f"{name}_scored")
+    for cte in ("classes", "counts", "prf", "report"):
+        report = report.replace(f"{cte} as", f"{name}_{cte} as").replace(f"from {cte}", f"from {name}_{cte}")
+    return report.replace("pr as (", f"{name}_pr as (").replace("from pr)", f"from {name}_pr)")
+
+
+def _horizon_study() -> str:
+    """Per horizon, the stump on the undersampled training rows of one split, and its report on the test rows."""
+    labels = ", ".join(f"cast(coalesce(gap_days <= {days}, false) as bigint) as {name}" for name, days in HORIZONS.items())
+    both = f"concat_ws(',', {', '.join(HORIZONS)})"
+    parts, reports = [], []
+    for name in HORIZONS:
+        parts.append(f"""{name}_even as (
+  select hadm_id from (select hadm_id, {_rank(42, 'hadm_id', name)} as r from split where not is_test)
+  where r <= (select min(n) from (select count(*) as n from split where not is_test group by {name}))),
+{name}_train as (select {name} as readmit, v from split join {name}_even using (hadm_id)), {_stump(name, f'{name}_train')},
+{name}_scored as (
+  select {name} as label, cast(share > 0.5 as bigint) as prediction from split, {name}_leaf where is_test and v[feature] = x)""")
+        parts.append(_named_report(name))
+        reports.append(f"""select '{name}' as horizon, name, round(precision, 6) as precision,
+       round(recall, 6) as recall, round(f1, 6) as f1, cast(support as bigint) as support from {name}_report""")
+    return f"""
+with {_LABELLED}, {_PATIENTS}, {_COMORBIDITY}, {_RX}, {_VALUES.replace("readmit,", f"{labels},", 1)},
+split as (
+  select *, r <= ceil(0.2 * n) as is_test
+  from (select *, {_rank(42, 'hadm_id', both)} as r, count(*) over (partition by {both}) as n from flagged)),
+{", ".join(parts)}
+{" union all ".join(reports)}"""
+
+
 def _variants() -> str:
     """Reports of the stump on clean rows, rows with gaps (read as 0), and gaps filled by medians of training rows."""
     holes = ", ".join(
@@ -457,6 +495,15 @@ with {_LABS} select hadm_id, {_round(_ALL_LABS)} from labs""",
     "lab_medians": f"""
 with {_LABS}
 select {", ".join(f"round(coalesce(median({c}), 0.0), 6) as {c}" for c in _ALL_LABS)} from labs""",
+    "median_fill_applied": f"""
+with {_LABELLED}, {_LABS},
+split as (
+  select hadm_id, r <= ceil(0.2 * n) as is_test
+  from (select hadm_id, {_rank(42, 'hadm_id', 'readmit')} as r, count(*) over (partition by readmit) as n from labelled)),
+both_ as (select split.hadm_id, is_test, {", ".join(_ALL_LABS)} from split left join labs on labs.hadm_id = split.hadm_id),
+medians as (select {", ".join(f"coalesce(median({c}), 0.0) as m_{c}" for c in _ALL_LABS)} from both_ where not is_test)
+select hadm_id, {", ".join(f"round(coalesce({c}, m_{c}), 6) as {c}" for c in _ALL_LABS)}
+from both_, medians where is_test""",
     "feature_table": _FEATURE_TABLE,
     "stratified_split": f"""
 with {_LABELLED},
@@ -545,6 +592,17 @@ from made join pts s on s.id = seed_id join pts t on t.id = neighbour_id""",
 with {_STUDY}, train as (select readmit, v from split join even using (hadm_id)), {_stump('one', 'train')}
 select hadm_id, cast(share > 0.5 as bigint) as prediction, round(share, 6) as probability
 from split, one_leaf where is_test and v[feature] = x""",
+    "pipeline_saved_exact": f"""
+with {_STUDY},
+holed as (select *, [{_HOLES}] as h from split),
+medians as (select [{_MIDDLE}] as m),
+filled as (
+  select hadm_id, readmit, is_test, list_transform(range(1, len(h) + 1), lambda i: coalesce(h[i], m[i])) as v
+  from holed, medians),
+train as (select readmit, v from filled join even using (hadm_id)), {_stump('one', 'train')}
+select hadm_id, cast(share > 0.5 as bigint) as prediction, round(share, 6) as probability
+from filled, one_leaf where is_test and v[feature] = x""",
+    "horizon_study_exact": _horizon_study(),
     "forest_importance_exact": _forest_importance(),
     "cv_tune_exact": f"""
 with {_LABELLED}, {_PATIENTS}, {_COMORBIDITY}, {_RX}, {_VALUES},

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardspan.operators import admissions as adm
 from wardspan.operators import evaluate, impute, quality, ranking
 from wardspan.operators.comorbidity import comorbidity_scores, normalise_codes
-from wardspan.operators.forest import draw_trials, tune
+from wardspan.operators.forest import classifier, draw_trials, tune
 from wardspan.operators.importance import permutation_importance
 from wardspan.operators.label import HORIZONS, readmit_labels
 from wardspan.operators.labs import LAB_ITEMS, align, lab_features
 from wardspan.operators.smote import smote, synthetic_points
+from wardspan.operators.stages import Balanced, FeatureVector, MedianFill, MedianFillModel
 from wardspan.plans import roles, studies
 from wardspan.plans.features import LAB_COLUMNS, build_features, cohort
 from wardspan.plans.training import train_and_evaluate
@@ -244,6 +248,18 @@ def lab_medians(spark, folder):
     return impute.median_table(labs, ALL_LABS).select(*[rounded(c) for c in ALL_LABS])
 
 
+@query("median_fill_applied")
+def median_fill_applied(spark, folder):
+    """Medians learned on training rows, saved, and applied to the test rows."""
+    labs = lab_features(roles.labevents(spark, folder))
+    rows = ranking.stratified_split(_labelled(spark, folder), "hadm_id", "readmit").join(labs, "hadm_id", "left")
+    rows = materialise(rows.select("hadm_id", "is_test", *ALL_LABS), "labs")
+    path = f"{shared_folder(spark)}/wardspan/medians-{uuid.uuid4().hex}"
+    MedianFill(inputCols=list(ALL_LABS)).fit(rows.where("is_test = 0")).save(path)
+    filled = MedianFillModel.load(path).transform(rows.where("is_test = 1"))
+    return filled.select("hadm_id", *[rounded(c) for c in ALL_LABS])
+
+
 @query("feature_table")
 def feature_table(spark, folder):
     built = build_features(roles.sources(spark, folder), roles.PARAMS)
@@ -506,13 +522,17 @@ CERTAIN = {"bootstrap": False, "featureSubsetStrategy": "all"}
 FLAGS = ("has_chronic", "age_65_plus", *TYPE_COLUMNS, "many_priors", "many_prescriptions")
 
 
-def _flags(spark, folder):
-    flagged = _table(spark, folder).withColumns(
+def _with_flags(table):
+    return table.withColumns(
         {
             "many_priors": (F.col("prior_admissions") > 5).cast("int"),
             "many_prescriptions": (F.col("num_prescriptions") >= 4).cast("int"),
         }
     )
+
+
+def _flags(spark, folder):
+    flagged = _with_flags(_table(spark, folder))
     return materialise(flagged.select("hadm_id", "readmit", *[f"`{c}`" for c in FLAGS]), "flags")
 
 
@@ -555,6 +575,42 @@ def quality_compare_exact(spark, folder):
     return report.select("variant", "name", *[rounded(c) for c in ("precision", "recall", "f1")], big("support"))
 
 
+@query("pipeline_saved_exact")
+def pipeline_saved_exact(spark, folder):
+    """Fill, vector, undersampling and forest fitted as one pipeline on rows with gaps; saved, read back, applied to the test rows."""
+    split = ranking.stratified_split(_flags(spark, folder), "hadm_id", "readmit")
+    split = materialise(quality.inject_missing(split, "hadm_id", list(FLAGS), 0.3), "split")
+    learner = classifier("readmit", {**STUMP, **CERTAIN}, 42)
+    stages = [
+        MedianFill(inputCols=list(FLAGS)),
+        FeatureVector(inputCols=list(FLAGS), outputCol="_features"),
+        Balanced(learner, idCol="hadm_id", labelCol="readmit", featuresCol="_features", how="undersample"),
+    ]
+    path = f"{shared_folder(spark)}/wardspan/pipeline-{uuid.uuid4().hex}"
+    Pipeline(stages=stages).fit(split.where("is_test = 0")).save(path)
+    scored = PipelineModel.load(path).transform(split.where("is_test = 1"))
+    chance = F.round(vector_to_array("probability")[1], DIGITS).alias("probability")
+    return scored.select("hadm_id", big("prediction"), chance)
+
+
+@query("horizon_study_exact")
+def horizon_study_exact(spark, folder):
+    """A forest and its report for each horizon, on one split and one feature vector."""
+    built = build_features(roles.sources(spark, folder), replace(roles.PARAMS, horizons=HORIZONS))
+    flagged = _with_flags(built).select("hadm_id", *HORIZONS, *[f"`{c}`" for c in FLAGS])
+    report = studies.horizon_study(
+        materialise(flagged, "flags"), "hadm_id", list(HORIZONS), FLAGS, {**STUMP, **CERTAIN}, balancing="undersample"
+    )
+    return report.select("horizon", "name", *[rounded(c) for c in ("precision", "recall", "f1")], big("support"))
+
+
+@query("horizon_study")
+def horizon_study(spark, folder):
+    """The study at 30 days, one and five years, by SMOTE and random forests on all features."""
+    built = build_features(roles.sources(spark, folder), replace(roles.PARAMS, horizons=HORIZONS))
+    return studies.horizon_study(materialise(built, "features"), "hadm_id", list(HORIZONS), FEATURES, FOREST)
+
+
 def _table(spark, folder):
     return build_features(roles.sources(spark, folder), roles.PARAMS)
 
