@@ -174,3 +174,18 @@ def test_changed_weights_are_not_answered_by_an_older_stage(spark):
     _, weights = code_tables(spark)
     assert content_mark(weights) == content_mark(weights.repartition(3))
     assert content_mark(weights) != content_mark(weights.withColumn("w_readmit", weights.w_readmit + 1))
+
+
+def test_changed_export_is_built_again(spark, tmp_path):
+    """Without a version the files decide; buckets change nothing in the rows."""
+    data, tables = _export(tmp_path / "data"), code_tables(spark)
+    plain = rows(hospital_features(spark, data, str(tmp_path / "a"), *tables))
+    kept = [hospital_features(spark, data, str(tmp_path / "b"), *tables, version=None, buckets=3) for _ in range(2)]
+    assert rows(kept[0]) == rows(kept[1]) == plain
+    path = tmp_path / "data" / "hosp" / "prescriptions.csv.gz"
+    with gzip.open(path, "rt") as lines:
+        header = lines.readline()
+    _gzip(path, [header.strip()])
+    changed = hospital_features(spark, data, str(tmp_path / "b"), *tables, version=None, buckets=3)
+    assert changed.agg({"num_prescriptions": "sum"}).first()[0] == 0
+    assert sum(r["num_prescriptions"] for r in kept[0].collect()) > 0

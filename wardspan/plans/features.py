@@ -22,7 +22,7 @@ from wardspan.operators.label import label_columns, with_gap
 from wardspan.operators.labs import LAB_ITEMS, LabItem, lab_features
 from wardspan.operators.skew import MIN_HOT_ROWS
 from wardspan.sources.readers import read_hospital
-from wardspan.sources.stage import content_mark, materialise, stage
+from wardspan.sources.stage import bucketed_stage, content_mark, files_mark, materialise, stage
 
 BASE_FEATURES = (
     "elix_mortality",
@@ -161,20 +161,24 @@ def hospital_features(
     weights: DataFrame,
     time_delta_days: float = 365,
     partitions: int | None = None,
-    version: str = "1",
+    version: str | None = "1",
     params: FeatureParams | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Feature table of a folder of hospital exports, kept under ``cache_path``.
 
     Admissions, patients and the aggregates are kept once per data path, code
     map, weights and ``params``, the result once per horizon as well, so another
     horizon reads no large export again. Change ``version`` when the exports
-    change. ``time_delta_days`` is the horizon, whatever ``params`` says.
+    change, or give None, and the names, lengths and times of their files decide.
+    ``time_delta_days`` is the horizon, whatever ``params`` says. With
+    ``buckets`` the aggregates and the cohort are kept in so many buckets by
+    hadm_id, and join without another exchange.
     """
     params = replace(params or FeatureParams(), horizons={"readmit": time_delta_days})
     given = {
         "data": data_path,
-        "version": version,
+        "version": files_mark(spark, data_path) if version is None else version,
         "code_map": content_mark(code_map),
         "weights": content_mark(weights),
         "params": repr(replace(params, horizons={})),
@@ -183,6 +187,11 @@ def hospital_features(
     def kept(name: str, build: Callable[[], DataFrame], **more) -> DataFrame:
         return stage(spark, cache_path, name, {**given, **more}, build)
 
+    def by_admission(name: str, build: Callable[[], DataFrame], **more) -> DataFrame:
+        if buckets is None:
+            return kept(name, build, **more)
+        return bucketed_stage(spark, cache_path, name, {**given, **more}, build, "hadm_id", buckets)
+
     def build() -> DataFrame:
         tables = read_hospital(spark, data_path, partitions)
         sources = Sources(
@@ -194,7 +203,10 @@ def hospital_features(
             code_map=code_map,
             weights=weights,
         )
-        parts = {name: kept(name, made) for name, made in part_builders(sources, params).items()}
-        return as_float(fill_labs(join_parts(cohort(sources, params), parts, params), params))
+        parts = {name: by_admission(name, made) for name, made in part_builders(sources, params).items()}
+        stays = cohort(sources, params)
+        if buckets is not None:
+            stays = by_admission("cohort", lambda: cohort(sources, params), horizon=time_delta_days)
+        return as_float(fill_labs(join_parts(stays, parts, params), params))
 
     return kept("features", build, horizon=time_delta_days)

@@ -505,6 +505,7 @@ medians as (select {", ".join(f"coalesce(median({c}), 0.0) as m_{c}" for c in _A
 select hadm_id, {", ".join(f"round(coalesce({c}, m_{c}), 6) as {c}" for c in _ALL_LABS)}
 from both_, medians where is_test""",
     "feature_table": _FEATURE_TABLE,
+    "feature_table_bucketed": _FEATURE_TABLE,
     "stratified_split": f"""
 with {_LABELLED},
 ranked as (

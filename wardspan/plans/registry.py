@@ -22,11 +22,11 @@ from wardspan.operators.labs import LAB_ITEMS, align, lab_features
 from wardspan.operators.smote import smote, synthetic_points
 from wardspan.operators.stages import Balanced, FeatureVector, MedianFill, MedianFillModel
 from wardspan.plans import roles, studies
-from wardspan.plans.features import LAB_COLUMNS, build_features, cohort
+from wardspan.plans.features import LAB_COLUMNS, build_features, cohort, fill_labs, join_parts, part_builders
 from wardspan.plans.training import train_and_evaluate
 from wardspan.sources import schemas
 from wardspan.sources.readers import read_hospital, read_table
-from wardspan.sources.stage import materialise, shared_folder, stage
+from wardspan.sources.stage import bucketed_stage, materialise, shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,9 +260,29 @@ def median_fill_applied(spark, folder):
     return filled.select("hadm_id", *[rounded(c) for c in ALL_LABS])
 
 
+def _staged(spark, folder, buckets):
+    """The joined feature rows, from bucketed stages of the cohort and of every aggregate."""
+    base, sources = f"{shared_folder(spark)}/wardspan/buckets-{uuid.uuid4().hex}", roles.sources(spark, folder)
+    builders = {**part_builders(sources, roles.PARAMS), "cohort": lambda: cohort(sources, roles.PARAMS)}
+    parts = {
+        name: bucketed_stage(spark, base, name, {"data": folder}, made, "hadm_id", buckets) for name, made in builders.items()
+    }
+    return join_parts(parts.pop("cohort"), parts, roles.PARAMS)
+
+
+@query("feature_table_bucketed")
+def feature_table_bucketed(spark, folder):
+    """The feature table joined from bucketed stages, without an exchange."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _feature_columns(fill_labs(_staged(spark, folder, buckets), roles.PARAMS))
+
+
 @query("feature_table")
 def feature_table(spark, folder):
-    built = build_features(roles.sources(spark, folder), roles.PARAMS)
+    return _feature_columns(build_features(roles.sources(spark, folder), roles.PARAMS))
+
+
+def _feature_columns(built):
     return built.select(
         "hadm_id",
         big("readmit"),

@@ -75,6 +75,43 @@ def content_mark(table: DataFrame) -> list[int]:
     return list(table.agg(F.count("*"), F.bit_xor(row), F.sum(F.pmod(row, F.lit(1 << 32)))).first())
 
 
+def files_mark(spark: SparkSession, path: str) -> list:
+    """Count, bytes and a digest of paths, lengths and times of all files under ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    lines, size = [], 0
+    while files.hasNext():
+        found = files.next()
+        lines.append(f"{found.getPath().toString()}|{found.getLen()}|{found.getModificationTime()}")
+        size += found.getLen()
+    return [len(lines), size, hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()]
+
+
+def _place(folder: str, name: str, params: dict) -> tuple[str, str]:
+    digest = hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode()).hexdigest()[:16]
+    return f"{folder.rstrip('/')}/{name}/{digest}", digest
+
+
+def _publish(spark: SparkSession, attempt: str, path: str) -> None:
+    """Give a finished attempt its place, unless another writer was first; then the attempt goes.
+
+    A folder is renamed as a whole, so a reader sees all of a table or nothing
+    of it, and never files of two writers.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    source, target = hadoop.Path(attempt), hadoop.Path(path)
+    system = target.getFileSystem(conf)
+    if not _finished(spark, path):
+        system.delete(target, True)  # left unfinished by a writer without attempts
+        plain = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            hadoop.FileContext.getFileContext(target.toUri(), conf).rename(source, target, plain)
+        except Exception:
+            if not _finished(spark, path):
+                raise
+    system.delete(source, True)
+
+
 def stage(
     spark: SparkSession,
     folder: str,
@@ -85,10 +122,49 @@ def stage(
     """Reuse ``<folder>/<name>/<hash of params>`` if finished, else build it.
 
     ``params`` holds all that the stage depends on, so another horizon or
-    another input path cannot be answered by an older table.
+    another input path cannot be answered by an older table; put
+    ``files_mark`` of the inputs in it where these may change in place. Every
+    writer builds in a folder of its own, and the first to finish is kept.
     """
-    digest = hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode())
-    path = f"{folder.rstrip('/')}/{name}/{digest.hexdigest()[:16]}"
+    path, _ = _place(folder, name, params)
     if not _finished(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        attempt = f"{path}-attempt-{uuid.uuid4().hex}"
+        build().write.parquet(attempt)
+        _publish(spark, attempt, path)
     return spark.read.parquet(path)
+
+
+def bucketed_stage(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    params: dict,
+    build: Callable[[], DataFrame],
+    key: str,
+    buckets: int,
+) -> DataFrame:
+    """As ``stage``, in ``buckets`` files by the hash of ``key``, each sorted by it.
+
+    Tables with the same key and number of buckets join and group by the key
+    without an exchange. The table is known to the session's catalog by a name of
+    its own; a later session registers the finished files again.
+    """
+    path, digest = _place(folder, name, {**params, "buckets": [key, buckets]})
+    if not _finished(spark, path):
+        attempt = uuid.uuid4().hex
+        table = f"wardspan_{name}_attempt_{attempt}"
+        # One task a bucket, so one file a bucket.
+        rows = build().repartition(buckets, F.col(f"`{key}`"))
+        writer = rows.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+        writer.option("path", f"{path}-attempt-{attempt}").saveAsTable(table)
+        spark.sql(f"DROP TABLE `{table}`")  # the files stay
+        _publish(spark, f"{path}-attempt-{attempt}", path)
+    place = hashlib.sha256(path.encode()).hexdigest()[:8]
+    table = f"wardspan_{name}_{digest}_{place}"
+    if not spark.catalog.tableExists(table):
+        columns = spark.read.parquet(path).schema.toDDL()
+        spark.sql(
+            f"CREATE TABLE `{table}` ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
