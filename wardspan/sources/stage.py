@@ -134,6 +134,28 @@ def stage(
     return spark.read.parquet(path)
 
 
+#: The columns of a bucketed stage, beside its files: an empty table has none to tell them.
+_COLUMNS = "_columns"
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def bucketed_stage(
     spark: SparkSession,
     folder: str,
@@ -158,11 +180,12 @@ def bucketed_stage(
         writer = rows.write.format("parquet").bucketBy(buckets, key).sortBy(key)
         writer.option("path", f"{path}-attempt-{attempt}").saveAsTable(table)
         spark.sql(f"DROP TABLE `{table}`")  # the files stay
+        _write_text(spark, f"{path}-attempt-{attempt}/{_COLUMNS}", rows.schema.toDDL())
         _publish(spark, f"{path}-attempt-{attempt}", path)
     place = hashlib.sha256(path.encode()).hexdigest()[:8]
     table = f"wardspan_{name}_{digest}_{place}"
     if not spark.catalog.tableExists(table):
-        columns = spark.read.parquet(path).schema.toDDL()
+        columns = _read_text(spark, f"{path}/{_COLUMNS}")
         spark.sql(
             f"CREATE TABLE `{table}` ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
             f"INTO {buckets} BUCKETS LOCATION '{path}'"
