@@ -1,9 +1,12 @@
 import random
 
+import duckdb
 import pytest
 
 from helpers import ALNUM, documents, lowered
 from wardspan.llm import decontaminate as module
+from wardspan.llm.queries import op5_decontaminate
+from wardspan.llm.sql import OP5
 
 
 def brute(text, items, width=10):
@@ -12,20 +15,20 @@ def brute(text, items, width=10):
     for item, passage in items:
         own = ALNUM.findall(lowered(passage))
         size = min(width, len(own))
-        if item is None or not size:
+        if not size:
             continue
         windows = {tuple(own[k : k + size]) for k in range(len(own) - size + 1)}
         for i in range(len(words) - size + 1):
             if tuple(words[i : i + size]) in windows:
                 hit |= set(range(i, i + size))
-                names.add(str(item))
-    return len(words), sorted(hit), sorted(names)
+                names.add(item)
+    return len(words), sorted(hit), sorted(str(n) for n in names - {None}), None in names
 
 
 def case(rng):
     words = [f"w{k}" for k in range(6)]
     items = [(k, " ".join(rng.choices(words, k=rng.choice([0, 1, 3, 9, 10, 14])))) for k in range(12)]
-    items += [(None, "w1"), (50, None), (51, "!?"), (3, "w1 w2 w3 w4 w5 w0 w1 w2 w3 w4 w5"), (10, "é Ünter w1")]
+    items += [(None, "w1 w2 w3 w1 w2 w3"), (None, "é Ünter w1"), (8, items[8][1]), (50, None), (51, "!?"), (3, "w1 w2 w3 w4 w5 w0 w1 w2 w3 w4 w5"), (10, "é Ünter w1")]
     rows = [(k, rng.choice([" ", ", ", "\n"]).join(rng.choices(words, k=rng.choice([0, 5, 12, 60])))) for k in range(60)]
     rows += [(100, None), (None, items[8][1]), (101, items[5][1].upper()), (102, "x é ünter! W1"), (102, "x é ünter! W1")]
     return rows, items
@@ -37,7 +40,7 @@ def test_equals_brute_force(spark, monkeypatch, block):
     rows, items = case(random.Random(2))
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, id string")
     got = module.decontaminate(documents(spark, rows), bench).collect()
-    seen = [(r.doc_id, r.n_words, sorted({w for p in r.places for w in range(p.start, p.end + 1)}), r["items"]) for r in got]
+    seen = [(r.doc_id, r.n_words, sorted({w for p in r.places for w in range(p.start, p.end + 1)}), r["items"], r.unnamed) for r in got]
     assert sorted(seen, key=str) == sorted([(i, *brute(t, items)) for i, t in rows], key=str)
     for r in got:
         words = ALNUM.findall(lowered(r.text))
@@ -58,3 +61,18 @@ def test_empty_tables_and_a_long_text(spark):
     assert module.decontaminate(docs.where("false"), bench).count() == 0
     assert [tuple(p) for p in module.decontaminate(docs, bench).first().places] == [(299_999, 300_002)]
     assert module.without_contaminated(docs, none).count() == 1
+
+
+def test_query_counts_an_item_without_an_id(spark, tmp_path):
+    """As the SQL does: its words are hit, it is one of the items, and it has no name among them."""
+    documents(spark, [(1, "x one two. Three"), (2, "four five"), (3, "one two three four five"), (4, None)]).write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(None, "one two three"), (None, "one two three"), (7, "four five")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(OP5)
+    names = [d[0] for d in want.description]
+    got = op5_decontaminate(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got} == {1: (3, 1), 2: (2, 1), 3: (5, 2), 4: (0, 0)}

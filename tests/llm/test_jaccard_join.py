@@ -87,6 +87,17 @@ def test_word_numbers_are_those_of_the_words(monkeypatch, run):
         assert len(set(flat)) == len(set(numbers.tolist())) == len(set(zip(flat, numbers.tolist())))
 
 
+def test_structured_words_get_numbers_of_their_own():
+    """Words whose letters follow parity patterns, equal under any polynomial modulo a power of two."""
+    made = []
+    for size in (64, 512, 1024, 2048, 4096):
+        plain = "".join("ab"[bin(i).count("1") & 1] for i in range(size))
+        made += [plain, plain.translate({97: 98, 98: 97}), plain[::-1] + "a", plain[32:] + plain[:32], "a" * size, "a" * (size - 1) + "b"]
+    made = sorted(set(made))
+    numbers, _ = words.word_numbers(pa.array([" ".join(made)]), words.SPACES)
+    assert len(set(numbers.tolist())) == len(made)
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(400 + k, 401 + k) for k in range(40)]

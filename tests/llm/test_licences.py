@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from helpers import ALNUM, documents, lowered
@@ -51,3 +53,13 @@ def test_native_plans(spark, name):
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_time_of_a_text_of_rare_words_grows_with_its_length(spark):
+    """One word of a key phrase, very often: no candidate is compared with all others."""
+    rows = [(1, "license " * 100_000 + "released under the MIT license"), (2, "all rights reserved " * 20_000)]
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in scan_licences(documents(spark, rows)).collect()}
+    assert time.perf_counter() - start < 30
+    assert [(p.start, p.label) for p in got[1].places] == [(100_000, "mit")]
+    assert [p.start for p in got[2].places] == list(range(0, 60_000, 3))

@@ -4,7 +4,8 @@ The windows of all benchmark items become the patterns of one automaton over
 normalised words; every text is scanned once, and matches are mapped back to
 words and to offsets of the original text. The patterns are the only data sent
 to all tasks: items go into blocks of bounded size, and beyond one block the
-texts are scanned by one automaton after the other.
+texts are scanned by one automaton after the other, each of which is dropped
+before the next.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardspan.llm.words import NOT_ALNUM, UPPER
+from wardspan.sources.stage import materialise
 
 #: Bytes of item text in one automaton, at most (one longer item is a block of its own).
 BLOCK_BYTES = 8 << 20
@@ -30,15 +32,17 @@ def _words(text: str | None) -> list[bytes]:
     return (text if isinstance(text, str) else "").encode().translate(_TABLE).split()
 
 
-def _windows(items: list[tuple[str, str]], width: int) -> dict[bytes, tuple[int, list[str]]]:
-    """Each window as bytes: its length in words and the items that hold it."""
-    windows: dict[bytes, tuple[int, list[str]]] = {}
+def _windows(items: list[tuple[str | None, str]], width: int) -> dict[bytes, tuple[int, list[str | None]]]:
+    """Each window as bytes: its length in words and the items that hold it, None for those without an id."""
+    windows: dict[bytes, tuple[int, list[str | None]]] = {}
     for item, text in items:
         words = _words(text)
         size = min(width, len(words))
         for k in range(len(words) - size + 1 if size else 0):
             window = b" %b " % b" ".join(words[k : k + size])
-            windows.setdefault(window, (size, []))[1].append(item)
+            owners = windows.setdefault(window, (size, []))[1]
+            if item not in owners[-1:]:
+                owners.append(item)
     return windows
 
 
@@ -81,11 +85,11 @@ def _scanner(items, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(items.value, width)
         for batch in batches:
-            sizes, places, names = [], [], []
-            for text, marked, known in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4))):
+            sizes, places, names, unnamed = [], [], [], []
+            for text, marked, known, nameless in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4, 5))):
                 words = _words(text)
                 sizes.append(len(words))
-                hits, found = defaultdict(int), set(known or ())
+                hits, found = defaultdict(int), set(known or ()) | ({None} if nameless else set())
                 for end, (size, owners) in _matches(automaton, words):
                     hits[end] = max(hits[end], size)
                     found.update(owners)
@@ -102,7 +106,8 @@ def _scanner(items, width: int):
                     np.add.at(change, high + 1, -1)
                 first, last = _runs(np.cumsum(change[:-1]) > 0)
                 places.append([{"start": a, "end": b} for a, b in zip(first.tolist(), last.tolist())])
-                names.append(sorted(found))
+                names.append(sorted(found - {None}))
+                unnamed.append(None in found)
             spot = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -111,8 +116,9 @@ def _scanner(items, width: int):
                     pa.array(sizes, pa.int64()),
                     pa.array(places, spot),
                     pa.array(names, pa.list_(pa.string())),
+                    pa.array(unnamed, pa.bool_()),
                 ],
-                names=["id", "text", "n_words", "places", "items"],
+                names=["id", "text", "n_words", "places", "items", "unnamed"],
             )
 
     return run
@@ -137,21 +143,19 @@ def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = [(p["start"], p["end"]) for p in places]
             spans.append(_original(text, *zip(*at)) if at else [])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        columns = [batch.column(i) for i in range(5)] + [pa.array(spans, kind)]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "text", "n_words", "places", "items", "spans"])
+        columns = [*batch.columns, pa.array(spans, kind)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "spans"])
 
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple[str, str]]]:
-    """The items in lists of at most BLOCK_BYTES each, one list fetched at a time."""
-    size = F.coalesce(F.octet_length("text"), F.lit(0))
-    items = benchmark.where("id is not null and text is not null")
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str | None, str]]]:
+    """The distinct items in lists of about half of BLOCK_BYTES each, one list fetched at a time."""
+    size = F.octet_length("text")
+    items = benchmark.where("text is not null").select(F.col("id").cast("string").alias("id"), "text").distinct()
     total = items.agg(F.sum(size)).first()[0] or 0
     count = -(-total // (BLOCK_BYTES // 2)) or 1
     block = F.pmod(F.xxhash64("id", "text"), F.lit(count))
-    return [
-        [tuple(r) for r in items.where(block == k).select(F.col("id").cast("string"), "text").collect()]
-        for k in range(count)
-    ]
+    for k in range(count):
+        yield [tuple(r) for r in items.where(block == k).collect()]
 
 
 def decontaminate(
@@ -163,24 +167,33 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: ``<id_col>``, ``<text_col>``, n_words, places, items, spans.
+    """One row per row of ``docs``: ``<id_col>``, ``<text_col>``, n_words, places, items, unnamed, spans.
 
     Words are letters, digits and all beyond ASCII, A-Z lower-cased. A window is
     ``width`` consecutive words of an item; an item of fewer words is one window,
-    one without words (or null, or with a null id) none. ``places`` are the runs
-    of words (first and last, from 0) inside any occurrence of a window,
-    ``spans`` the same in code points of the text, ``items`` the ids found, as
-    sorted distinct strings. A null text has no words. Repeated rows are scanned
+    one without words or text none. ``places`` are the runs of words (first and
+    last, from 0) inside any occurrence of a window, ``spans`` the same in code
+    points of the text, ``items`` the ids found, as sorted distinct strings, and
+    ``unnamed`` whether an item with a null id was among them. Where the items
+    fill several blocks, rows are written between the scans of two of them, so
+    that one block at a time is held. A null text has no words. Repeated rows are scanned
     alike; other columns are ignored; empty tables give no rows or no hits.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     items = benchmark.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    shape = f"id {kind}, text string, n_words long, places {SPANS}, items array<string>"
-    rows = rows.selectExpr("id", "text", "0L as n_words", f"cast(null as {SPANS}) as places", "cast(null as array<string>) as items")
+    shape = f"id {kind}, text string, n_words long, places {SPANS}, items array<string>, unnamed boolean"
+    rows = rows.selectExpr(
+        "id", "text", "0L as n_words", f"cast(null as {SPANS}) as places", "cast(null as array<string>) as items", "false as unnamed"
+    )
+    held = None
     for block in _blocks(items):
-        rows = rows.mapInArrow(_scanner(spark.sparkContext.broadcast(block), width), shape)
+        if held is not None:
+            rows = materialise(rows, "scanned")
+            held.unpersist()
+        held = spark.sparkContext.broadcast(block)
+        rows = rows.mapInArrow(_scanner(held, width), shape)
     rows = rows.mapInArrow(_offsets, f"{shape}, spans {SPANS}")
     return rows.withColumnsRenamed({"id": id_col, "text": text_col})
 
@@ -195,7 +208,11 @@ def without_contaminated(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no window of any item; a null text holds none."""
     items = benchmark.select(F.col(f"`{item_col}`").alias("id"), F.col(f"`{item_text_col}`").alias("text"))
+    held = None
     for block in _blocks(items):
-        free = _free(docs.sparkSession.sparkContext.broadcast(block), width)
-        docs = docs.where(free(F.col(f"`{text_col}`")))
+        if held is not None:
+            docs = materialise(docs, "scanned")
+            held.unpersist()
+        held = docs.sparkSession.sparkContext.broadcast(block)
+        docs = docs.where(_free(held, width)(F.col(f"`{text_col}`")))
     return docs

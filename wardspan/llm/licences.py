@@ -126,9 +126,11 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def template(c: Column) -> Column:
         return F.element_at("templates", c.t + 1)
 
-    def verified(c: Column) -> Column:
+    def verified(c: Column, i: Column) -> Column:
         own = template(c)
-        agreed = F.size(F.filter("starts", lambda d: d == c)) >= own.need
+        # Equal starts stand together: of each run the first, if the run is as long as the rare words are many.
+        first = (i == 0) | (F.get("starts", i - 1) != c)
+        agreed = first & F.coalesce(F.get("starts", i + own.need - 1) == c, F.lit(False))
         at = c.start + own.place
         return agreed & (at >= 0) & (F.slice("words", F.greatest(at, F.lit(0)) + 1, F.size(own.key)) == own.key)
 
@@ -138,7 +140,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return F.aggregate(stands, F.lit(0.0), lambda a, b: a + b) / F.size(own.words)
 
     places = F.transform(
-        F.filter(F.array_distinct("starts"), verified),
+        F.filter("starts", verified),
         lambda c: F.struct(
             c.start.cast("long").alias("start"), template(c).label.alias("label"), template(c).base.alias("base"), share(c).alias("share")
         ),
@@ -146,7 +148,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = (
         rows.withColumn("words", words_of(F.col("text")))
         .withColumn("spots", spots)
-        .withColumn("starts", starts)
+        .withColumn("starts", F.array_sort(starts))
         .withColumn("templates", templates)
     )
     return found.select(

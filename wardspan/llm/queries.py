@@ -70,7 +70,7 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         "n_words",
         hit.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )

@@ -2,9 +2,12 @@
 
 Texts are split and hashed over the bytes of a whole Arrow batch at once. The
 lower-casing of A-Z and both word classes are byte rules: all bytes above 0x7F
-belong to words. A word's number is a polynomial over its bytes modulo 2**64,
-mixed; equal words always get equal numbers, and two different words of one
-comparison get the same number with a chance of about 2**-64.
+belong to words. A word's number is made by tabulation: each place of a block
+of 32 bytes has a table of random numbers by byte, whose sum is mixed with the
+place of the block, and the blocks of a word are added up and mixed again.
+Equal words always get equal numbers; two different words of one comparison get
+the same number with a chance of about 2**-64, whatever they look like, as no
+place shares its table with another and no step between blocks is linear.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 #: Texts are handled in runs of about so many bytes, cut between words.
 RUN = 1 << 20
-_FACTOR = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_BLOCK = 32
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def lower_ascii(column: Column) -> Column:
@@ -32,31 +35,20 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
-_tables: dict[bytes, np.ndarray] = {}
-_powers: dict[str, np.ndarray] = {}
+_tables: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _values(separators: bytes) -> np.ndarray:
-    """A random number for each byte, 0 for separators; A-Z as a-z."""
-    if separators in _tables:
-        return _tables[separators]
-    rng = np.random.Generator(np.random.PCG64(20_250_101))
-    values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-    upper = np.frombuffer(UPPER.encode(), np.uint8)
-    values[upper] = values[upper + 32]
-    drop = [b for b in separators if not 65 <= b <= 90]
-    values[drop] = 0
-    return _tables.setdefault(separators, values)
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; the longest table so far is kept."""
-    key = str(base)
-    if key not in _powers or len(_powers[key]) < n:
-        table = np.full(max(n, RUN + 1024), base, np.uint64)
-        table[0] = 1
-        _powers[key] = np.multiply.accumulate(table)
-    return _powers[key][:n]
+def _values(separators: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Random numbers by place in a block and byte, A-Z as a-z; and which bytes are of words."""
+    if separators not in _tables:
+        rng = np.random.Generator(np.random.PCG64(20_250_101))
+        values = rng.integers(0, 1 << 63, (_BLOCK, 256), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, (_BLOCK, 256), dtype=np.uint64)
+        upper = np.frombuffer(UPPER.encode(), np.uint8)
+        values[:, upper] = values[:, upper + 32]
+        inside = np.ones(256, bool)
+        inside[[b for b in separators if not 65 <= b <= 90]] = False
+        _tables[separators] = values.ravel(), inside
+    return _tables[separators]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,7 +80,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = RUN) -> I
 def word_numbers(column: pa.Array, separators: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The number of every word of all texts, and where each text's words begin."""
     data, offsets = text_bytes(column)
-    values, size = _values(separators), len(data)
+    (values, of_word), size = _values(separators), len(data)
     edges = np.zeros(size + 1, bool)
     edges[offsets] = True
     found, starts = [], []
@@ -96,24 +88,34 @@ def word_numbers(column: pa.Array, separators: bytes) -> tuple[np.ndarray, np.nd
     while at < size:
         end = min(at + RUN, size)
         if end < size:
-            inner = np.flatnonzero((values[data[at:end]] == 0) | edges[at + 1 : end + 1])
+            inner = np.flatnonzero(~of_word[data[at:end]] | edges[at + 1 : end + 1])
             if len(inner):
                 end = at + int(inner[-1]) + 1
             else:  # one word longer than a run
-                rest = np.flatnonzero((values[data[end:]] == 0) | edges[end + 1 :])
+                rest = np.flatnonzero(~of_word[data[end:]] | edges[end + 1 :])
                 end = end + int(rest[0]) + 1
-        value = values[data[at:end]]
-        inside = value != 0
+        part = data[at:end]
+        inside = of_word[part]
         before = np.empty_like(inside)
         before[0], before[1:] = False, inside[:-1]
-        first = np.flatnonzero(inside & (~before | edges[at:end]))
+        begins = inside & (~before | edges[at:end])
+        first = np.flatnonzero(begins)
         after = np.empty_like(inside)
         after[-1], after[:-1] = False, inside[1:]
         last = np.flatnonzero(inside & (~after | edges[at + 1 : end + 1]))
-        total = np.cumsum(value * _power(_FACTOR, end - at), dtype=np.uint64)
-        low = np.where(first > 0, total[first - 1], np.uint64(0))
-        number = (total[last] - low) * _power(_INVERSE, end - at)[first]
-        found.append(mix(number + (last - first).astype(np.uint64)))
+        spots = np.arange(end - at)
+        place = spots - np.maximum.accumulate(np.where(begins, spots, 0))
+        value = values[(place % _BLOCK) * 256 + part]
+        value[~inside] = 0
+        total = np.cumsum(value, dtype=np.uint64)
+        block = np.flatnonzero(inside & (place % _BLOCK == 0))
+        of = np.searchsorted(first, block, "right") - 1
+        until = np.minimum(block + _BLOCK - 1, last[of])
+        low = np.where(block > 0, total[block - 1], np.uint64(0))
+        mixed = np.cumsum(mix(total[until] - low + _STEP * (place[block] // _BLOCK + 1).astype(np.uint64)), dtype=np.uint64)
+        ends = np.searchsorted(of, np.arange(len(first)), "right") - 1
+        sums = np.diff(mixed[ends], prepend=np.uint64(0)) if len(ends) else np.zeros(0, np.uint64)
+        found.append(mix(sums + (last - first).astype(np.uint64)))
         starts.append(first + at)
         at = end
     if not found:
