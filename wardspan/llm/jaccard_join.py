@@ -54,6 +54,8 @@ FREQUENT = 1 << 20
 COUNTERS, PIVOTS = 1 << 18, 256
 #: Bits of the filter that keeps texts without a pair from being hashed and sent again.
 MARKS = 1 << 24
+#: Pairs a task remembers to have told.
+KEPT_PAIRS = 1 << 19
 
 
 def _overlap(n, m, percent):
@@ -228,11 +230,13 @@ def _more_pivots(pivots: int, percent: int):
 
     The late rows of a region are those of its largest class; the others are
     its pivots. Once all of them have been compared with all rows, what is left
-    is one class, and the region is finished.
+    is one class, and the region is finished. A pair of near texts shares many
+    regions; a task tells it once as far as it remembers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, chosen, full = None, None, False
+        told: set[tuple[int, int]] = set()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -245,9 +249,14 @@ def _more_pivots(pivots: int, percent: int):
                 if shingle != region:
                     region, chosen, full = shingle, _Pivots(percent, pivots), False
                 if chosen.count:
-                    found = chosen.near(rows[k], far[k], cells[k])
-                    a += found.tolist()
-                    b += [rows[k, 0]] * len(found)
+                    own = int(rows[k, 0])
+                    pairs = [(x, own) for x in chosen.near(rows[k], far[k], cells[k]).tolist()]
+                    pairs = [pair for pair in pairs if pair not in told]
+                    if len(told) > KEPT_PAIRS:
+                        told.clear()
+                    told.update(pairs)
+                    a += [x for x, _ in pairs]
+                    b += [own] * len(pairs)
                 if not late[k] and not chosen.add(rows[k], far[k], cells[k]):
                     full = True
                     left.append(k)
