@@ -30,7 +30,7 @@ from wardspan.llm.words import slices
 from wardspan.operators.skew import lookup
 
 #: Bytes of text encoded at a time, or one longer text.
-ROOM = 1 << 22
+ROOM = 6 << 20
 #: Encoded words after which a worker starts anew.
 REMEMBERED = 1 << 19
 #: A character between words encoded as one text, and how many they are.
@@ -143,7 +143,7 @@ class _Words:
         words = cut.flatten().dictionary_encode()
         if len(self.parts.places) > REMEMBERED:
             self.parts = _Store()
-        if len(self.words.places) > REMEMBERED // 2:  # soon put together again from their parts
+        if len(self.words.places) > REMEMBERED * 3 // 4:  # soon put together again from their parts
             self.words = _Store()
         found = self.words.find(words.dictionary.to_pylist(), self._learn)
         size, ids = self.words.ids(found[words.indices.to_numpy()])
