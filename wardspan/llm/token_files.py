@@ -30,7 +30,7 @@ from wardspan.llm.words import slices
 from wardspan.operators.skew import lookup
 
 #: Bytes of text encoded at a time, or one longer text.
-ROOM = 6 << 20
+ROOM = 1 << 22
 #: Encoded words after which a worker starts anew.
 REMEMBERED = 1 << 19
 #: A character between words encoded as one text, and how many they are.
@@ -218,7 +218,7 @@ def write_token_files(
     )
     encoded.write.options(
         **{
-            "compression": "zstd",
+            "compression": "snappy",
             "orc.stripe.size": stripe_bytes,
             "orc.row.index.stride": index_rows,
             "orc.bloom.filter.columns": "doc_id",
