@@ -1,0 +1,62 @@
+"""Unreadable values counted in the scan's own pass."""
+
+import gzip
+
+import pytest
+from pyspark.sql import types as T
+
+from wardspan.sources.readers import read_table
+from wardspan.sources.rejects import read_checked
+
+SCHEMA = (
+    T.StructType().add("id", "long").add("itemid", "integer").add("valuenum", "double").add("at", "timestamp_ntz").add("name", "string")
+)
+LINES = [
+    "at,name,valuenum,itemid,id",
+    "2150-01-01 10:00:00,a,1.5,50912,1",
+    "soon,b,NaN,50912.0,2.0",
+    ",,,,",
+    "2150-13-01 10:00:00,c,high,50912.5,x",
+    "2150-01-01 10:00:00,d, 2.5 ,99999999999,4",
+    "2150-01-01 10:00:00,e,  ,7,5e0",
+]
+
+
+@pytest.fixture
+def path(tmp_path):
+    with gzip.open(tmp_path / "t.csv.gz", "wt") as out:
+        out.write("\n".join(LINES) + "\n")
+    return str(tmp_path / "t.csv.gz")
+
+
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_counts_and_rows(spark, path, partitions):
+    scan = read_checked(spark, path, SCHEMA, partitions)
+    plain = read_table(spark, path, SCHEMA)
+    assert sorted(map(str, scan.table.collect())) == sorted(map(str, plain.collect()))
+    assert scan.counts() == {"rows": 6, "id": 1, "itemid": 2, "valuenum": 1, "at": 2, "name": 0}
+    rejected = {r["name"]: r for r in scan.rejected.collect()}
+    assert {n: r["unreadable"] for n, r in rejected.items()} == {
+        "b": ["at"], "c": ["id", "itemid", "valuenum", "at"], "d": ["itemid"],
+    }
+    assert rejected["c"]["id"] == "x" and rejected["b"]["valuenum"] == "NaN"
+
+
+def test_refusal(spark, path):
+    scan = read_checked(spark, path, SCHEMA)
+    scan.table.count()
+    scan.refuse_above(0.5)
+    with pytest.raises(ValueError, match="unreadable values in 6 rows"):
+        scan.refuse_above(0.2)
+
+
+def test_empty_file(spark, tmp_path):
+    (tmp_path / "e.csv").write_text(LINES[0] + "\n")
+    scan = read_checked(spark, str(tmp_path / "e.csv"), SCHEMA)
+    assert scan.table.count() == 0 and scan.rejected.count() == 0
+    scan.refuse_above(0.0)
+
+
+def test_missing_column(spark, path):
+    with pytest.raises(ValueError, match="no column"):
+        read_checked(spark, path, T.StructType().add("id", "long").add("other", "integer"))

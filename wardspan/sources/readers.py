@@ -12,7 +12,7 @@ from wardspan.sources.schemas import TABLES
 SMALL = ("admissions", "patients")
 
 
-def _typed(name: str, dtype: T.DataType) -> Column:
+def typed(name: str, dtype: T.DataType) -> Column:
     """Text to type; unreadable text and NaN become NULL."""
     text = F.trim(F.col(f"`{name}`"))
     if isinstance(dtype, T.StringType):
@@ -27,6 +27,15 @@ def _typed(name: str, dtype: T.DataType) -> Column:
     return text.try_cast(dtype).alias(name)
 
 
+def raw_table(spark: SparkSession, path: str | list[str], columns: T.StructType) -> DataFrame:
+    """All columns of a CSV with a header as text; refused if one of ``columns`` is absent."""
+    raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
+    missing = [f.name for f in columns if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {missing}; the header has {raw.columns}")
+    return raw
+
+
 def read_table(
     spark: SparkSession,
     path: str | list[str],
@@ -40,11 +49,8 @@ def read_table(
     must share one header; the reader refuses a file that differs. One gzip
     file is one task: give ``partitions`` to spread its rows before heavy work.
     """
-    raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
-    missing = [f.name for f in columns if f.name not in raw.columns]
-    if missing:
-        raise ValueError(f"{path}: no column {missing}; the header has {raw.columns}")
-    table = raw.select(*[_typed(f.name, f.dataType) for f in columns])
+    raw = raw_table(spark, path, columns)
+    table = raw.select(*[typed(f.name, f.dataType) for f in columns])
     return table.repartition(partitions) if partitions else table
 
 
