@@ -20,6 +20,7 @@ from wardspan.operators.comorbidity import comorbidity_scores
 from wardspan.operators.impute import fill_from, fill_missing, median_table
 from wardspan.operators.label import label_columns, with_gap
 from wardspan.operators.labs import LAB_ITEMS, LabItem, lab_features
+from wardspan.operators.reduce import keep_wanted
 from wardspan.operators.skew import MIN_HOT_ROWS
 from wardspan.sources.readers import read_hospital
 from wardspan.sources.stage import bucketed_stage, content_mark, files_mark, materialise, stage
@@ -72,6 +73,8 @@ class FeatureParams:
     min_gap_days: int | None = None
     censored: bool = False
     min_rows: int = MIN_HOT_ROWS
+    #: Drop rows of other admissions by a Bloom filter before the aggregates shuffle.
+    reduce_first: bool = False
 
     @property
     def type_columns(self) -> list[str]:
@@ -107,7 +110,15 @@ def cohort(sources: Sources, params: FeatureParams) -> DataFrame:
 def part_builders(
     sources: Sources, params: FeatureParams = FeatureParams()
 ) -> dict[str, Callable[[], DataFrame]]:
-    """The per-admission aggregates by name; none depends on the horizons."""
+    """The per-admission aggregates by name; none depends on the horizons.
+
+    With ``reduce_first`` they hold the kept admissions and a few others, which
+    the join drops: worth a pass over the admissions where few are kept.
+    """
+    if params.reduce_first:
+        kept = sources.admissions.where(of_type(params.types)).select("hadm_id")
+        large = ("diagnoses", "prescriptions", "labevents")
+        sources = replace(sources, **{name: keep_wanted(getattr(sources, name), kept, "hadm_id") for name in large})
     return {
         "comorbidity": lambda: comorbidity_scores(
             sources.diagnoses, sources.code_map, sources.weights, min_rows=params.min_rows

@@ -454,6 +454,23 @@ select table_name, count(*) as n, count(*) filter (where id % 97 <> 0) as n_ids,
        cast(sum(id) filter (where id % 97 <> 0) as bigint) as sum_ids, count(value) as n_values,
        round(sum(value), 2) as sum_values
 from held group by table_name""",
+    "scan_rejects": f"""
+with {_ADM}, {_PATIENTS}, {_DX}, {_LABEVENTS},
+keys(table_name, key_name, id) as (
+  select 'admissions', 'hadm_id', hadm_id from adm
+  union all select 'patients', 'subject_id', subject_id from patients
+  union all select 'diagnoses_icd', 'hadm_id', hadm_id from dx
+  union all select 'prescriptions', 'hadm_id', l_orderkey from lineitem
+  union all select 'labevents', 'hadm_id', hadm_id from labevents),
+cols(table_name, column_name) as (values
+  ('admissions', 'subject_id'), ('admissions', 'hadm_id'), ('admissions', 'admittime'), ('admissions', 'dischtime'),
+  ('admissions', 'admission_type'), ('patients', 'subject_id'), ('patients', 'anchor_year'), ('patients', 'anchor_age'),
+  ('diagnoses_icd', 'hadm_id'), ('diagnoses_icd', 'icd_code'), ('prescriptions', 'hadm_id'), ('labevents', 'labevent_id'),
+  ('labevents', 'hadm_id'), ('labevents', 'itemid'), ('labevents', 'valuenum'))
+select table_name, column_name, count(*) as n_rows,
+       count(*) filter (where column_name = key_name and id % 97 = 0) as n_unreadable,
+       count(*) filter (where column_name = key_name and id % 97 = 0) as n_rejected
+from cols join keys using (table_name) group by table_name, column_name""",
     "stage_reuse": f"with {_RX} select hadm_id, num_prescriptions from rx",
     "prior_admissions": f"""
 with {_ADM}, {_PRIOR}
@@ -486,6 +503,8 @@ select hadm_id, {", ".join(
 from adm""",
     "code_normalise": f"with {_DX} select hadm_id, icd_code from dx",
     "comorbidity_score": f"""
+with {_COMORBIDITY} select hadm_id, elix_readmit, elix_mortality, has_chronic from scores""",
+    "comorbidity_by_function": f"""
 with {_COMORBIDITY} select hadm_id, elix_readmit, elix_mortality, has_chronic from scores""",
     "prescription_counts": f"with {_RX} select hadm_id, num_prescriptions from rx",
     "lab_features": f"with {_LABS} select hadm_id, {_round(_ALL_LABS)} from labs",
@@ -506,6 +525,7 @@ select hadm_id, {", ".join(f"round(coalesce({c}, m_{c}), 6) as {c}" for c in _AL
 from both_, medians where is_test""",
     "feature_table": _FEATURE_TABLE,
     "feature_table_bucketed": _FEATURE_TABLE,
+    "feature_table_reduced": _FEATURE_TABLE,
     "stratified_split": f"""
 with {_LABELLED},
 ranked as (

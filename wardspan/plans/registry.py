@@ -7,15 +7,18 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardspan.operators import admissions as adm
 from wardspan.operators import evaluate, impute, quality, ranking
 from wardspan.operators.comorbidity import comorbidity_scores, normalise_codes
 from wardspan.operators.forest import classifier, draw_trials, tune
+from wardspan.operators.grouped import apply_grouped
 from wardspan.operators.importance import permutation_importance
 from wardspan.operators.label import HORIZONS, readmit_labels
 from wardspan.operators.labs import LAB_ITEMS, align, lab_features
@@ -26,6 +29,7 @@ from wardspan.plans.features import LAB_COLUMNS, build_features, cohort, fill_la
 from wardspan.plans.training import train_and_evaluate
 from wardspan.sources import schemas
 from wardspan.sources.readers import read_hospital, read_table
+from wardspan.sources.rejects import read_hospital_checked
 from wardspan.sources.stage import bucketed_stage, materialise, shared_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,9 +74,11 @@ def csv_scan(spark, folder):
     return stays.select("hadm_id", "subject_id", "admission_type", *times)
 
 
-@query("hospital_scan")
-def hospital_scan(spark, folder):
-    """The five hospital tables as gzip CSV, with odd ids and values, read back: what each holds."""
+EXPORT_KEYS = {"patients": "subject_id"}  # else hadm_id
+
+
+def _odd_exports(spark, folder):
+    """The folder of the five hospital tables as gzip CSV, with odd ids and values."""
     base = f"{shared_folder(spark)}/wardspan/exports-{uuid.uuid4().hex}"
     tables = {
         "admissions": roles.admissions(spark, folder),
@@ -81,16 +87,8 @@ def hospital_scan(spark, folder):
         "prescriptions": roles.prescriptions(spark, folder),
         "labevents": roles.labevents(spark, folder).withColumn("labevent_id", F.col("hadm_id")),
     }
-    keys = {"patients": "subject_id"}
-    values = {
-        "admissions": F.col("subject_id"),
-        "patients": F.col("anchor_age"),
-        "diagnoses_icd": F.length("icd_code"),
-        "prescriptions": F.col("hadm_id"),
-        "labevents": F.col("valuenum"),
-    }
     for name, table in tables.items():
-        key = keys.get(name, "hadm_id")
+        key = EXPORT_KEYS.get(name, "hadm_id")
         number = F.col(key)
         odd = F.when(number % 97 == 0, "n/a").when(number % 2 == 0, F.concat(number.cast("string"), F.lit(".0")))
         dirty = {key: F.coalesce(odd, number.cast("string"))}
@@ -98,11 +96,26 @@ def hospital_scan(spark, folder):
             dirty["valuenum"] = F.when(number % 89 == 0, "NaN").otherwise(F.col("valuenum").cast("string"))
         export = table.withColumns(dirty).select(F.lit('a "note", with commas').alias("note"), *reversed(table.columns))
         export.write.options(header=True, compression="gzip", escape='"').csv(f"{base}/hosp/{name}.csv.gz")
+    return base
+
+
+@query("hospital_scan")
+def hospital_scan(spark, folder):
+    """The five hospital tables as gzip CSV, with odd ids and values, read back: what each holds."""
+    values = {
+        "admissions": F.col("subject_id"),
+        "patients": F.col("anchor_age"),
+        "diagnoses_icd": F.length("icd_code"),
+        "prescriptions": F.col("hadm_id"),
+        "labevents": F.col("valuenum"),
+    }
     held = [
         table.select(
-            F.lit(name).alias("table_name"), F.col(keys.get(name, "hadm_id")).alias("id"), values[name].cast("double").alias("value")
+            F.lit(name).alias("table_name"),
+            F.col(EXPORT_KEYS.get(name, "hadm_id")).alias("id"),
+            values[name].cast("double").alias("value"),
         )
-        for name, table in read_hospital(spark, base).items()
+        for name, table in read_hospital(spark, _odd_exports(spark, folder)).items()
     ]
     return reduce(DataFrame.unionByName, held).groupBy("table_name").agg(
         F.count("*").alias("n"),
@@ -113,6 +126,21 @@ def hospital_scan(spark, folder):
     )
 
 
+@query("scan_rejects")
+def scan_rejects(spark, folder):
+    """Unreadable values of the odd exports by column: those counted while the tables
+    are written, and those in the rejected rows."""
+    counted, held = [], []
+    for name, scan in read_hospital_checked(spark, _odd_exports(spark, folder)).items():
+        materialise(scan.table, name)
+        counts = scan.counts()
+        counted += [(name, c, counts["rows"], n) for c, n in counts.items() if c != "rows"]
+        held.append(scan.rejected.select(F.lit(name).alias("table_name"), F.explode("unreadable").alias("column_name")))
+    rejected = reduce(DataFrame.unionByName, held).groupBy("table_name", "column_name").agg(F.count("*").alias("n_rejected"))
+    seen = spark.createDataFrame(counted, "table_name string, column_name string, n_rows long, n_unreadable long")
+    return seen.join(rejected, ["table_name", "column_name"], "left").na.fill(0, ["n_rejected"])
+
+
 @query("stage_reuse")
 def stage_reuse(spark, folder):
     """A stage built once, then answered from its table."""
@@ -214,6 +242,32 @@ def comorbidity_score(spark, folder):
     return scores.select("hadm_id", "elix_readmit", "elix_mortality", big("has_chronic"))
 
 
+def _score_in_python(code_map, weights):
+    """A plain function from the diagnoses of one admission to its row of scores."""
+    groups = {}
+    for r in normalise_codes(code_map).collect():
+        groups.setdefault(r["icd_code"], set()).add(r["comorbidity"])
+    weight = {r["comorbidity"]: (r["w_readmit"], r["w_mortality"]) for r in weights.collect()}
+
+    def score(rows: pa.Table) -> pa.Table:
+        codes = {c.upper().replace(".", "") for c in rows["icd_code"].to_pylist() if c}
+        found = set().union(*[groups.get(c, ()) for c in codes])
+        totals = [sum(weight.get(g, (0.0, 0.0))[i] for g in found) for i in (0, 1)]
+        return pa.table(
+            {"hadm_id": rows["hadm_id"][:1], "elix_readmit": [totals[0]], "elix_mortality": [totals[1]], "has_chronic": [int(bool(found))]}
+        )
+
+    return score
+
+
+@query("comorbidity_by_function")
+def comorbidity_by_function(spark, folder):
+    """Comorbidity by a caller's plain function on the rows of each admission."""
+    score = _score_in_python(roles.code_map(spark), roles.weights(spark))
+    schema = StructType.fromDDL("hadm_id long, elix_readmit double, elix_mortality double, has_chronic long")
+    return apply_grouped(roles.diagnoses(spark, folder), ["hadm_id"], score, schema)
+
+
 @query("prescription_counts")
 def prescription_counts(spark, folder):
     counts = adm.prescription_counts(roles.prescriptions(spark, folder))
@@ -277,6 +331,12 @@ def feature_table_bucketed(spark, folder):
     return _feature_columns(fill_labs(_staged(spark, folder, buckets), roles.PARAMS))
 
 
+@query("feature_table_reduced")
+def feature_table_reduced(spark, folder):
+    """The feature table, rows of other admissions dropped before the aggregates shuffle."""
+    return _feature_columns(build_features(roles.sources(spark, folder), replace(roles.PARAMS, reduce_first=True)))
+
+
 @query("feature_table")
 def feature_table(spark, folder):
     return _feature_columns(build_features(roles.sources(spark, folder), roles.PARAMS))
