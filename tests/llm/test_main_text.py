@@ -1,8 +1,9 @@
+import html
 import re
 
 import pytest
 
-from wardspan.llm.main_text import extract_main_text, fit_weights, main_text
+from wardspan.llm.main_text import best_run, extract_main_text, fit_weights, main_text, shaped
 from wardspan.llm.queries import op10_main_text
 
 FOLDER = "/root/testdata/sf0.01"
@@ -49,6 +50,63 @@ def test_whole_table_against_its_own_marks(spark):
         assert r.n_chars == len(r.text) and r.text.replace(" ", "") == want.replace(" ", "")
 
 
+def _article(page, gap=""):
+    """The blocks of a generated page's article; tags inside a block leave ``gap``."""
+    article = re.search("<article>(.*)</article>", page, re.S)[1]
+    blocks = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
+    lines = [" ".join(html.unescape(re.sub("<[^>]*>", gap, b)).split()) for b in blocks]
+    return "\n".join(x for x in lines if x)
+
+
+def test_spacing_is_exact(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
+    for r in op10_main_text(spark, FOLDER).collect():
+        assert r.text == _article(pages[r.page_id])
+
+
+def _bare(page):
+    """The page without names and marks: no class, id or role, and plain divisions for all that is named."""
+    page = re.sub(r"(<[a-z]+[0-9]?)[^>]*>", r"\1>", page)
+    return re.sub(r"(</?)(?:article|main|nav|footer|header|aside)>", r"\1div>", page)
+
+
+def test_scan_decides_on_pages_without_names_and_marks(spark, weights):
+    """Shapes of blocks alone tell the article; without the scan every page keeps its menu, advert and footer."""
+    pages = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()]
+    right = 0
+    for page in pages:
+        bare, want = _bare(page), _article(page)
+        got = main_text(bare, weights)
+        right += got == want
+        named = [value for kind, value, _, words, named, _ in shaped(bare) if words and not named]
+        assert len(" ".join(named).split()) > len(got.split())
+    assert right >= 0.98 * len(pages)
+
+
+def test_best_run_against_all_runs():
+    import random
+
+    draw = random.Random(5)
+    for _ in range(2000):
+        scores = [draw.choice((-3, -2, -1, 0, 1, 2)) for _ in range(draw.randrange(12))]
+        best, first, end = best_run(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        assert best == max([0, *sums]) == sum(scores[first:end])
+        assert (first, end) == (0, 0) if not best else end == min(
+            j for j in range(1, len(scores) + 1) if any(sum(scores[i:j]) == best for i in range(j))
+        )
+
+
+def test_page_of_boilerplate_shapes_is_read_without_them(weights):
+    page = "<body><div>A short page of ten words in one plain division.</div></body>"
+    assert main_text(page, weights) == "A short page of ten words in one plain division."
+
+
+def test_article_that_is_a_comment_is_no_mark(weights):
+    page = f'<body><div><p>{LONG}</p></div><article class="comment"><p>Nice one, thanks.</p></article><article></article></body>'
+    assert main_text(page, weights) == LONG
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", PAGE % ("<article>", "</article>")), (2, None, "")]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
