@@ -1,10 +1,11 @@
+import random
 import zlib
 
 import pytest
 
 from helpers import documents
 from wardspan.llm.queries import op3_toxicity
-from wardspan.llm.toxicity import INSULTS, Scorer, Weights, fit_weights, labelled_texts, score_toxicity
+from wardspan.llm.toxicity import INSULTS, REACH, Scorer, Weights, fit_weights, grammar, labelled_texts, score_toxicity
 
 FOLDER = "/root/testdata/sf0.01"
 SCORER = Scorer(Weights({**dict.fromkeys(INSULTS, 0.9), "blor*": 0.95}))
@@ -27,6 +28,54 @@ def test_more_clauses_score_higher():
     assert SCORER.score("idiot. moron.") > SCORER.score("idiot.") > SCORER.score("fine.")
 
 
+def _marks(symbols):
+    """Marks of a clause by its definition: pairs of symbols, near or in order."""
+    other, insult, threat, target, negation, report = range(6)
+    at = [(i, j) for j in range(len(symbols)) for i in range(j)]
+    near = {(symbols[i], symbols[j]) for i, j in at if j - i <= REACH}
+    after = {(symbols[i], symbols[j]) for i, j in at}
+    found = {
+        "aimed": {(target, insult), (insult, target)} & near,
+        "threat": {(threat, target)} & near,
+        "negated": {(negation, insult), (negation, threat)} & near,
+        "reported": {(report, insult), (report, threat)} & after,
+    }
+    return {mark for mark, pairs in found.items() if pairs}
+
+
+def test_composition_against_brute_force():
+    draw, machine = random.Random(3), grammar()
+    for _ in range(20_000):
+        symbols = draw.choices(range(6), weights=(3, 1, 1, 1, 1, 1), k=draw.randrange(10))
+        state, marks = machine.start, set()
+        for symbol in symbols:
+            state, made = machine.step(state, symbol)
+            marks.update(made)
+        assert marks == _marks(symbols), symbols
+
+
+def test_a_clause_scores_by_its_whole_path():
+    """An insult alone lies below one aimed at somebody, and each further mark tells."""
+    score = SCORER.score
+    assert score("said not you idiot") < score("said idiot") < score("not you idiot") < score("idiot")
+    assert score("idiot") < score("you idiot") < score("I will hurt you, idiot")
+    marks, clean = SCORER.weights.marks, 0.1
+    assert score("you idiot") == pytest.approx(1 - clean * (1 - marks["aimed"]))
+    assert score("she said you idiot") == pytest.approx((1 - clean * (1 - marks["aimed"])) * marks["reported"])
+    assert score("idiot") == pytest.approx(0.9 * marks["bare"])
+
+
+def test_paths_are_learned(spark):
+    """Labels that call aimed insults toxic and bare ones clean turn the scores of the same word."""
+    words = "idiot moron jerk clown".split()
+    rows = [(f"text {k} you {w}", 1) for k in range(40) for w in words]
+    rows += [(f"text {k} about what {w} can mean {m}", 0) for k in range(12) for w in words for m in ("", "today")]
+    rows += [(f"plain text {k}", 0) for k in range(400)]
+    scorer = Scorer(fit_weights(spark.createDataFrame(rows, "text string, toxic int")))
+    for w in words:
+        assert scorer.score(f"you {w}") > 0.9 and scorer.score(f"that {w}") < 0.5
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, "you idiot"), (3, "you idiot"), (3, "you idiot"), (4, "fine " * 50_000 + "idiot")]
     got = score_toxicity(documents(spark, rows), SCORER.weights)

@@ -3,11 +3,15 @@
 Words become symbols: insult, threat, target, negation, reported speech or
 none. Small transducers, each for one pattern, are composed into one machine
 that runs over the symbols of a clause and marks what it matched: an insult
-aimed at somebody, a threat with its target, an insult negated or reported. The
-weights are chances of the label, learned from labelled texts: of each insulting
-word or word stem, and of each mark. A clause takes the best weight of its words
-and marks that raise it, and at most the weight of marks that lower it; a text
-takes that of its clauses, more of them counting a little more.
+aimed at somebody, a threat with its target, an insult negated or reported; an
+insult that none of the first two takes up is bare. A clause scores by the
+weight of its path through the machine, composed of the weights of the insult
+and of all marks on the way: marks that raise it multiply the chance that the
+clause is clean, bare and the marks that lower it the chance that it is toxic.
+So an insult alone scores below the same insult aimed at somebody, and that
+above the same negated. All weights are chances of the label learned from
+labelled texts. A text takes the weight of its best clause, more of them
+counting a little more.
 """
 
 from __future__ import annotations
@@ -54,7 +58,7 @@ REPORTS = "said says say told called calls quoted quote wrote reported allegedly
 _TABLE = bytes.maketrans(NOT_ALNUM + UPPER.encode(), bytes(32 if not 65 <= b <= 90 else b + 32 for b in NOT_ALNUM) + UPPER.lower().encode())
 _CLAUSE = re.compile(rb"[.!?;\n]+")
 _OTHER, _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT = range(6)
-RAISING, LOWERING = ("aimed", "threat"), ("negated", "reported")
+RAISING, LOWERING = ("aimed", "threat"), ("bare", "negated", "reported")
 
 
 class Transducer:
@@ -110,7 +114,7 @@ class Weights:
     """Chances of the label: by word, by stem (ends in *), by mark, and without any match."""
 
     terms: dict[str, float]
-    marks: dict[str, float] = field(default_factory=lambda: {"aimed": 0.8, "threat": 0.9, "negated": 0.2, "reported": 0.2})
+    marks: dict[str, float] = field(default_factory=lambda: {"aimed": 0.8, "threat": 0.9, "bare": 0.8, "negated": 0.2, "reported": 0.2})
     base: float = 0.05
 
 
@@ -150,20 +154,35 @@ class Scorer:
                 state, made = machine.step(state, _INSULT if weight else self.symbols.get(word, _OTHER))
                 best = max(best, weight)
                 marks.update(made)
+            if best and marks.isdisjoint(RAISING):
+                marks.add("bare")
             if best or "threat" in marks:
                 found.append((best, frozenset(marks)))
         return found
 
-    def score(self, text: str) -> float:
+    def path(self, weight: float, marks: frozenset[str]) -> float:
+        """The weight of a clause's path: of its best word and of all its marks, composed."""
+        clean = 1 - weight
+        for mark in RAISING:
+            clean *= 1 - self.weights.marks[mark] if mark in marks else 1
+        value = 1 - clean
+        for mark in LOWERING:
+            value *= self.weights.marks[mark] if mark in marks else 1
+        return value
+
+    def scored(self, text: str) -> tuple[float, int]:
+        """The score of a text and the number of its matched clauses, of one scan."""
         matched = self.clauses(text)
         if not matched:
-            return self.weights.base
+            return self.weights.base, 0
         best = more = 0.0
         for weight, marks in matched:
-            value = max([weight, *(self.weights.marks[m] for m in marks if m in RAISING)])
-            value = min([value, *(self.weights.marks[m] for m in marks if m in LOWERING)])
+            value = self.path(weight, marks)
             best, more = max(best, value), more + value
-        return 1 - (1 - best) / (1 + 0.1 * max(0.0, more - best))
+        return 1 - (1 - best) / (1 + 0.1 * max(0.0, more - best)), len(matched)
+
+    def score(self, text: str) -> float:
+        return self.scored(text)[0]
 
 
 def _terms(explained: Weights):
@@ -275,8 +294,7 @@ def score_toxicity(docs: DataFrame, weights: Weights, id_col: str = "doc_id", te
         scorer = Scorer(weights)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            scores = [scorer.score(t) for t in texts]
-            counts = [len(scorer.clauses(t)) if s != weights.base else 0 for t, s in zip(texts, scores)]
+            scores, counts = zip(*map(scorer.scored, texts)) if texts else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
