@@ -74,7 +74,7 @@ def test_joined_models_give_the_weights_of_sent_ones(spark):
 
 def test_extreme_texts_keep_their_order(spark):
     """Texts whose weights pass a million either way don't tie."""
-    rows = [(k, "good line " * (400_000 + 1000 * k)) for k in range(3)] + [(10 + k, "bad row " * (400_000 + 1000 * k)) for k in range(3)]
+    rows = [(k, "good line " * (800_000 + 1000 * k)) for k in range(3)] + [(10 + k, "bad row " * (800_000 + 1000 * k)) for k in range(3)]
     rows += [(20, "good line"), (21, "bad row")]
     got = resample(documents(spark, rows), labels(spark, [(20, 1), (21, 0)]), share=0.25).collect()
     kept = {r.doc_id for r in got if r.kept}
