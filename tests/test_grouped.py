@@ -62,3 +62,31 @@ def test_bad_declarations(table, spark):
     with pytest.raises(Exception, match="no column .'other'"):
         apply_grouped(few, ["k"], summary, StructType().add("k", "long").add("other", "long")).collect()
     assert apply_grouped(table.where("false"), ["k"], summary, SCHEMA).collect() == []
+
+
+def test_many_small_groups_share_a_batch(table, spark):
+    # One stream a group took most of the time; now groups are cut out of sorted batches.
+    got = apply_grouped(table, ["k"], summary, SCHEMA)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+    few = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # groups go on over batches
+    try:
+        want = table.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.max("v").alias("most"))
+        assert _rows(apply_grouped(table, ["k"], summary, SCHEMA)) == _rows(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", few)
+
+
+@pytest.mark.parametrize("dtype", ["double", "int", "string"])
+def test_keys_of_several_types(spark, dtype):
+    values = {"double": [0.0, -0.0, None, float("nan"), float("nan")], "int": [1, 1, None, 0, None], "string": ["a", "b", None, "a", None]}
+    held = spark.createDataFrame([(v, 1, i % 2) for v in values[dtype] for i in range(4)], f"k {dtype}, v int, `o.p` int")
+
+    def size(rows: pa.Table) -> pa.Table:
+        return pa.table({"n": [rows.num_rows]})
+
+    for keys in (["k"], ["k", "o.p"]):
+        want = held.groupBy(*[F.col(f"`{k}`") for k in keys]).count()
+        got = apply_grouped(held.withColumnRenamed("o.p", "op"), [k.replace(".", "") for k in keys], size, StructType().add("n", "long"))
+        assert sorted(r["n"] for r in got.collect()) == sorted(r["count"] for r in want.collect())
