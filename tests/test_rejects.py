@@ -60,3 +60,16 @@ def test_empty_file(spark, tmp_path):
 def test_missing_column(spark, path):
     with pytest.raises(ValueError, match="no column"):
         read_checked(spark, path, T.StructType().add("id", "long").add("other", "integer"))
+
+
+def test_rows_already_spread_are_not_shuffled(spark, tmp_path):
+    # A folder of as many files as partitions was spread again, by a shuffle of all rows.
+    folder = str(tmp_path / "many.csv.gz")
+    spark.range(0, 4_000, 1, 4).selectExpr("id", "cast(id as double) as valuenum").write.options(header=True, compression="gzip").csv(folder)
+    columns = T.StructType().add("id", "long").add("valuenum", "double")
+    for scan in (read_table(spark, folder, columns, 4), read_checked(spark, folder, columns, 4).table):
+        tasks = scan.rdd.getNumPartitions()
+        assert tasks >= 4 and "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+        assert scan.count() == 4_000
+    # Fewer tasks than asked for are still spread.
+    assert read_table(spark, folder, columns, 9).rdd.getNumPartitions() == 9

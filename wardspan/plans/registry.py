@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,6 +79,13 @@ def csv_scan(spark, folder):
 EXPORT_KEYS = {"patients": "subject_id"}  # else hadm_id
 
 
+def _together(spark, function, items):
+    """``function`` on each of a few items at the same time, so that small tables share the cluster with large ones."""
+    items = list(items)
+    with ThreadPool(len(items)) as pool:
+        return pool.map(inheritable_thread_target(spark)(function), items, chunksize=1)
+
+
 def _odd_exports(spark, folder):
     """The folder of the five hospital tables as gzip CSV, with odd ids and values."""
     base = f"{shared_folder(spark)}/wardspan/exports-{uuid.uuid4().hex}"
@@ -87,7 +96,9 @@ def _odd_exports(spark, folder):
         "prescriptions": roles.prescriptions(spark, folder),
         "labevents": roles.labevents(spark, folder).withColumn("labevent_id", F.col("hadm_id")),
     }
-    for name, table in tables.items():
+
+    def write(given):
+        name, table = given
         key = EXPORT_KEYS.get(name, "hadm_id")
         number = F.col(key)
         odd = F.when(number % 97 == 0, "n/a").when(number % 2 == 0, F.concat(number.cast("string"), F.lit(".0")))
@@ -96,6 +107,8 @@ def _odd_exports(spark, folder):
             dirty["valuenum"] = F.when(number % 89 == 0, "NaN").otherwise(F.col("valuenum").cast("string"))
         export = table.withColumns(dirty).select(F.lit('a "note", with commas').alias("note"), *reversed(table.columns))
         export.write.options(header=True, compression="gzip", escape='"').csv(f"{base}/hosp/{name}.csv.gz")
+
+    _together(spark, write, tables.items())
     return base
 
 
@@ -130,9 +143,10 @@ def hospital_scan(spark, folder):
 def scan_rejects(spark, folder):
     """Unreadable values of the odd exports by column: those counted while the tables
     are written, and those in the rejected rows."""
+    scans = read_hospital_checked(spark, _odd_exports(spark, folder))
+    _together(spark, lambda scan: materialise(scan[1].table, scan[0]), scans.items())
     counted, held = [], []
-    for name, scan in read_hospital_checked(spark, _odd_exports(spark, folder)).items():
-        materialise(scan.table, name)
+    for name, scan in scans.items():
         counts = scan.counts()
         counted += [(name, c, counts["rows"], n) for c, n in counts.items() if c != "rows"]
         held.append(scan.rejected.select(F.lit(name).alias("table_name"), F.explode("unreadable").alias("column_name")))

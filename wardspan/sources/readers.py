@@ -12,19 +12,33 @@ from wardspan.sources.schemas import TABLES
 SMALL = ("admissions", "patients")
 
 
-def typed(name: str, dtype: T.DataType) -> Column:
-    """Text to type; unreadable text and NaN become NULL."""
+def parsed(name: str, dtype: T.DataType) -> Column:
+    """Text to type; unreadable text becomes NULL."""
     text = F.trim(F.col(f"`{name}`"))
     if isinstance(dtype, T.StringType):
-        return F.col(f"`{name}`").alias(name)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return null_nan(text.try_cast(dtype)).alias(name)
+        return F.col(f"`{name}`")
     if isinstance(dtype, T.IntegralType):
         # Integer columns with gaps are often exported as "101.0".
         number = text.try_cast("double")
         whole = F.when(number == F.floor(number), number.try_cast(dtype))
-        return F.coalesce(text.try_cast(dtype), whole).alias(name)
-    return text.try_cast(dtype).alias(name)
+        return F.coalesce(text.try_cast(dtype), whole)
+    return text.try_cast(dtype)
+
+
+def without_nan(value: Column, dtype: T.DataType) -> Column:
+    return null_nan(value) if isinstance(dtype, (T.DoubleType, T.FloatType)) else value
+
+
+def typed(name: str, dtype: T.DataType) -> Column:
+    """Text to type; unreadable text and NaN become NULL."""
+    return without_nan(parsed(name, dtype), dtype).alias(name)
+
+
+def spread_rows(table: DataFrame, partitions: int | None) -> DataFrame:
+    """``table`` in so many partitions, without a shuffle where its scan has as many tasks already."""
+    if not partitions or table.rdd.getNumPartitions() >= partitions:
+        return table
+    return table.repartition(partitions)
 
 
 def raw_table(spark: SparkSession, path: str | list[str], columns: T.StructType) -> DataFrame:
@@ -47,11 +61,12 @@ def read_table(
     A schema handed to the CSV reader would bind by position, so the file is
     read as text (only the asked columns are parsed) and cast. Several files
     must share one header; the reader refuses a file that differs. One gzip
-    file is one task: give ``partitions`` to spread its rows before heavy work.
+    file is one task: give ``partitions`` to spread its rows before heavy work;
+    a scan of as many tasks is left as it is.
     """
     raw = raw_table(spark, path, columns)
     table = raw.select(*[typed(f.name, f.dataType) for f in columns])
-    return table.repartition(partitions) if partitions else table
+    return spread_rows(table, partitions)
 
 
 def read_hospital(

@@ -9,12 +9,14 @@ the file.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardspan.sources.readers import SMALL, raw_table, typed
+from wardspan.sources.readers import SMALL, parsed, raw_table, spread_rows, without_nan
 from wardspan.sources.schemas import TABLES
 
 
@@ -45,15 +47,15 @@ class CheckedScan:
             raise ValueError(f"unreadable values in {rows} rows, by column: {bad}")
 
 
+def _present(name: str) -> Column:
+    return F.coalesce(F.trim(F.col(f"`{name}`")) != "", F.lit(False))
+
+
 def unreadable(name: str, dtype: T.DataType) -> Column:
     """Whether the text is there but is no value of the type. NaN is a missing number, not an unreadable one."""
-    text = F.trim(F.col(f"`{name}`"))
-    present = F.coalesce(text != "", F.lit(False))
     if isinstance(dtype, T.StringType):
         return F.lit(False)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return present & text.try_cast(dtype).isNull()
-    return present & typed(name, dtype).isNull()
+    return _present(name) & parsed(name, dtype).isNull()
 
 
 def read_checked(
@@ -68,14 +70,28 @@ def read_checked(
     are counted before the rows are spread over ``partitions``.
     """
     raw = raw_table(spark, path, columns)
-    bad = {f.name: unreadable(f.name, f.dataType) for f in columns}
+    fields = list(enumerate(columns))
+    # Every text is parsed once: its value is looked at for the count and goes on to the table.
+    values = raw.select(
+        *[parsed(f.name, f.dataType).alias(f"_value{i}") for i, f in fields],
+        *[_present(f.name).alias(f"_present{i}") for i, f in fields if not isinstance(f.dataType, T.StringType)],
+    )
     observation = Observation()
-    counted = [F.coalesce(F.count_if(b), F.lit(0)).alias(c) for c, b in bad.items()]
-    seen = raw.observe(observation, F.count(F.lit(1)).alias("rows"), *counted)
-    table = seen.select(*[typed(f.name, f.dataType) for f in columns])
-    names = F.filter(F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()]), lambda c: c.isNotNull())
-    rejected = raw.select(*[f"`{f.name}`" for f in columns], names.alias("unreadable")).where(F.size("unreadable") > 0)
-    return CheckedScan(table.repartition(partitions) if partitions else table, rejected, observation)
+    counted = [
+        F.lit(0).cast("long").alias(f.name)
+        if isinstance(f.dataType, T.StringType)
+        else F.coalesce(F.count_if(F.col(f"_present{i}") & F.col(f"_value{i}").isNull()), F.lit(0)).alias(f.name)
+        for i, f in fields
+    ]
+    seen = values.observe(observation, F.count(F.lit(1)).alias("rows"), *counted)
+    table = seen.select(*[without_nan(F.col(f"_value{i}"), f.dataType).alias(f.name) for i, f in fields])
+    bad = {f.name: unreadable(f.name, f.dataType) for f in columns if not isinstance(f.dataType, T.StringType)}
+    names = F.filter(F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()]).cast("array<string>"), lambda c: c.isNotNull())
+    # Few rows are rejected, so the names are worked out for these alone.
+    rejected = raw.where(reduce(or_, bad.values(), F.lit(False))).select(
+        *[f"`{f.name}`" for f in columns], names.alias("unreadable")
+    )
+    return CheckedScan(spread_rows(table, partitions), rejected, observation)
 
 
 def read_hospital_checked(spark: SparkSession, folder: str, partitions: int | None = None) -> dict[str, CheckedScan]:
