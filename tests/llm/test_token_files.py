@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -127,3 +128,10 @@ def test_stripes_and_pruning(spark, tmp_path):
     # Ids written run by run take less than their 4 bytes each.
     tokens = token_index(spark, str(tmp_path / "t")).groupBy().sum("n_tokens").first()[0]
     assert sum(f.stat().st_size for f in files) < 4 * tokens and raw[:3] == b"ORC"
+
+
+def test_an_encoder_keeps_to_the_core_of_its_task(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "")
+    del os.environ["TOKENIZERS_PARALLELISM"]
+    _Words("word_bpe_49k.json")
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"

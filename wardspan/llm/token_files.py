@@ -13,6 +13,7 @@ texts and not ids, and the sample that places the ranges reads ids alone.
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 import zlib
@@ -30,11 +31,13 @@ from wardspan.llm.words import slices
 from wardspan.operators.skew import lookup
 
 #: Bytes of text encoded at a time, or one longer text.
-ROOM = 1 << 22
+ROOM = 1 << 21
 #: Encoded words after which a worker starts anew.
 REMEMBERED = 1 << 19
 #: A character between words encoded as one text, and how many they are.
 MARK, JOINED = "\x01", 1000
+#: Closing marks are cut only behind one of these.
+ALNUM = frozenset(string.ascii_letters + string.digits)
 #: ASCII marks that may close a word: all but the apostrophe, which opens endings, and the bar of special tokens.
 CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~"
 #: Bytes of a stripe, rows of an entry of the row index, false hits of a Bloom filter.
@@ -49,6 +52,8 @@ def _encoder(vocabulary: str):
     import public_tokenizers
     from tokenizers import Tokenizer
 
+    # A task has one core: a pool of threads in every worker takes memory and no less time.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     path = vocabulary if os.path.isabs(vocabulary) else public_tokenizers.path(vocabulary)
     return Tokenizer.from_file(path)
 
@@ -130,10 +135,9 @@ class _Words:
         parts = []
         for word in words:
             core = word.rstrip(CLOSING)
-            if not core or not (core[-1].isalnum() and core[-1].isascii()):
+            if core[-1:] not in ALNUM:
                 core = word
-            parts.append(core.lower() if core.isascii() and "<|" not in core else core)
-            parts.append(word[len(core) :])
+            parts += core.lower() if core.isascii() and "<|" not in core else core, word[len(core) :]
         size, ids = self.parts.ids(self.parts.find(parts, self._encode))
         return size[::2] + size[1::2], ids
 
@@ -145,7 +149,8 @@ class _Words:
             self.parts = _Store()
         if len(self.words.places) > REMEMBERED * 3 // 4:  # soon put together again from their parts
             self.words = _Store()
-        found = self.words.find(words.dictionary.to_pylist(), self._learn)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes five times as long
+        found = self.words.find(distinct, self._learn)
         size, ids = self.words.ids(found[words.indices.to_numpy()])
         ends = np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)
         total = np.concatenate([[0], np.cumsum(size)])[ends]
