@@ -116,3 +116,18 @@ def test_matrix_is_complete_or_refused(spark):
     other = spark.createDataFrame([(0, 0), (0, 1), (0, 2)], "label int, prediction int")
     with pytest.raises(Exception, match="class outside the list"):
         evaluate.confusion_matrix(other, [0, 1]).collect()
+
+
+def test_importance_scores_no_variant_that_equals_its_row(spark):
+    seen = []
+
+    def counted(df):
+        seen.append(df)
+        return _model(df)
+
+    features = ["a.b", "noise", "same"]
+    got = {r["feature"]: r for r in permutation_importance(_table(spark), "id", features, "label", counted, 3).collect()}
+    variants = {r["_feature"]: r["count"] for r in seen[-1].groupBy("_feature").count().collect()}
+    assert "" not in variants and "same" not in variants
+    assert 0 < variants["a.b"] < 3 * _table(spark).count()
+    assert got["same"]["importance_mean"] == 0 and got["a.b"]["importance_mean"] == pytest.approx(0.5, abs=0.05)
