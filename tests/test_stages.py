@@ -77,3 +77,17 @@ def test_report_of_scored_rows(spark, tmp_path):
     Report().save(str(tmp_path / "r"))
     got = {r["name"]: r for r in Report.load(str(tmp_path / "r")).transform(scored).collect()}
     assert got["1"]["precision"] == 0.5 and got["0"]["recall"] == 0.5 and got["accuracy"]["support"] == 3
+
+
+def test_a_fit_leaves_no_table_of_its_balancing(table, tmp_path, monkeypatch):
+    from wardspan.sources import stage
+
+    monkeypatch.setattr(stage, "shared_folder", lambda spark: str(tmp_path))
+    vector = FeatureVector(inputCols=["x.1", "y"], outputCol="v").transform(table)
+    for how in ("smote", "undersample"):
+        learner = DecisionTreeClassifier(labelCol="label", featuresCol="v")
+        model = Balanced(learner, idCol="id", labelCol="label", featuresCol="v", how=how).fit(vector)
+        assert model.transform(vector).where("prediction <> label").count() == 0
+        assert [*(tmp_path / "wardspan").iterdir()] == []
+    stage.materialise(table, "kept")
+    assert len([*(tmp_path / "wardspan").iterdir()]) == 1
