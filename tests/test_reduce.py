@@ -55,3 +55,20 @@ def test_filter_lies_below_the_aggregate(spark):
     want = lab_features(events).join(kept, "hadm_id", "left_semi")
     got = lab_features(reduced).join(kept, "hadm_id", "left_semi")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_filter_is_sent_once_with_each_scan(spark):
+    """Each mention of the subquery would send the whole filter along once more."""
+    kept = roles.admissions(spark, FOLDER).select("hadm_id")
+    plan = keep_wanted(roles.labevents(spark, FOLDER), kept, "hadm_id")._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(line for line in plan.splitlines() if "Filter" in line and "scalar-subquery" in line)
+    assert condition.count("scalar-subquery") == 1
+
+
+def test_few_others_pass_a_full_filter(spark):
+    # 6,500 keys in 2^16 bits: ten bits a key, as full as a filter gets.
+    facts = spark.range(106_500).select((F.col("id") * 7919 - 90_000).alias("k"))
+    wanted = facts.where(F.expr("(k + 90000) div 7919 < 6500"))
+    kept = keep_wanted(facts, wanted, "k", max_bits=1 << 16)
+    assert kept.join(wanted, "k", "left_semi").count() == 6_500
+    assert kept.count() <= 6_500 + 3_000
