@@ -76,3 +76,21 @@ def test_query_counts_an_item_without_an_id(spark, tmp_path):
     got = op5_decontaminate(spark, str(tmp_path)).select(*names).collect()
     assert sorted(map(tuple, got)) == sorted(want.fetchall())
     assert {r.doc_id: (r.n_hit, r.n_items) for r in got} == {1: (3, 1), 2: (2, 1), 3: (5, 2), 4: (0, 0)}
+
+
+def test_texts_meet_python_once_and_equal_items_are_cut_up_once(spark):
+    """One pass of Python over the texts gives hits and offsets; codes are short and tell words apart."""
+    words = [f"w{k}".encode() for k in range(3000)]
+    codes = module._codes(dict.fromkeys(words))
+    assert len(set(codes.values())) == 3000 and {len(c) for c in codes.values()} == {2}
+    assert not set("".join(codes.values())) & {module._OTHER}
+    text = " ".join(f"w{k}" for k in range(300))
+    windows = module._Windows([(str(k), text) for k in range(50)] + [(None, text)], 10)
+    assert {len(texts) for _, (_, texts) in windows.matches(module._words(text))} == {1}
+    assert windows.items == [{None, *map(str, range(50))}]
+    bench = spark.createDataFrame([(k, text) for k in range(12)], "item_id long, text string")
+    found = module.decontaminate(documents(spark, [(1, f"x {text} y"), (2, "w1 w0")]), bench)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = {r.doc_id: r for r in found.collect()}
+    assert got[1]["items"] == sorted(map(str, range(12))) and [tuple(s) for s in got[1].spans] == [(2, 2 + len(text))]
+    assert got[2]["items"] == [] and got[2].spans == []
