@@ -94,3 +94,13 @@ def test_texts_meet_python_once_and_equal_items_are_cut_up_once(spark):
     got = {r.doc_id: r for r in found.collect()}
     assert got[1]["items"] == sorted(map(str, range(12))) and [tuple(s) for s in got[1].spans] == [(2, 2 + len(text))]
     assert got[2]["items"] == [] and got[2].spans == []
+
+
+def test_a_worker_cuts_a_block_up_once_and_holds_one_block():
+    class Block:
+        value = [("a", "one two three")]
+
+    first = module._kept(Block, "first", 2)
+    assert module._kept(Block, "first", 2) is first
+    assert module._kept(Block, "second", 2) is not first
+    assert module._kept(Block, "first", 2) is not first

@@ -10,6 +10,9 @@ before the next.
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections import defaultdict
 from collections.abc import Collection, Iterator
 from itertools import chain, product, repeat
@@ -106,11 +109,21 @@ def _original(text: str, first: np.ndarray, last: np.ndarray) -> list[dict]:
     ]
 
 
+def _kept(items, mark: str, width: int) -> _Windows:
+    """The windows of a block, which a Python worker cuts up once for all its tasks; one block at a time is held."""
+    kept = sys.modules.setdefault("wardspan_windows", types.ModuleType("wardspan_windows"))
+    if getattr(kept, "mark", None) != mark:
+        kept.mark = kept.windows = None  # what an earlier block holds goes first
+        kept.mark, kept.windows = mark, _Windows(items.value, width)
+    return kept.windows
+
+
 def _scanner(items, width: int, last: bool):
     """Adds what the items' windows hit to (id, text) or to what an earlier block gave; the ``last`` block adds the offsets."""
+    mark = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = _Windows(items.value, width)
+        windows = _kept(items, mark, width)
         for batch in batches:
             sizes, places, names, unnamed, spans = [], [], [], [], []
             columns = [batch.column(k).to_pylist() for k in ((1, 3, 4, 5) if batch.num_columns > 2 else (1,))]
@@ -157,10 +170,11 @@ def _scanner(items, width: int, last: bool):
 
 def _free(items, width: int):
     """Whether a text holds no window at all."""
+    mark = uuid.uuid4().hex
 
     @F.pandas_udf("boolean")
     def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        windows = _Windows(items.value, width)
+        windows = _kept(items, mark, width)
         for texts in batches:
             yield pd.Series([next(windows.matches(_words(t)), None) is None for t in texts], dtype="bool")
 
