@@ -189,3 +189,24 @@ def test_changed_export_is_built_again(spark, tmp_path):
     changed = hospital_features(spark, data, str(tmp_path / "b"), *tables, version=None, buckets=3)
     assert changed.agg({"num_prescriptions": "sum"}).first()[0] == 0
     assert sum(r["num_prescriptions"] for r in kept[0].collect()) > 0
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from wardspan.sources import stage
+
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().endswith(".data")}
+
+    before, given = shuffled(), spark.conf.get(stage._FILES_GO)
+    table = spark.range(1000).repartition(3, "id")
+    kept = stage.materialise(table, "rows")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(stage._FILES_GO) == given
+    assert kept.count() == table.count() == 1000
